@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallygraph.graph.model import both_directions, vertices_of
-from tallygraph.storage import checkpoint
+from tallygraph.operators.skew import per_key_join
+from tallygraph.storage import checkpoint, materialize
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -14,8 +15,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     around = both_directions(edges)
     least = around.groupBy("id").agg(F.least(F.min("neighbour"), F.col("id")).alias("least"))
     return (
-        around.where("neighbour > id")
-        .join(least, "id")
+        per_key_join(around.where("neighbour > id"), least, ["id"])
         .select(F.col("neighbour").alias("src"), F.col("least").alias("dst"))
         .distinct()
     )
@@ -25,6 +25,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
     """Link each vertex and its smaller neighbours to the smallest of them."""
     down = edges.select(F.greatest("src", "dst").alias("id"), F.least("src", "dst").alias("below"))
     least = down.groupBy("id").agg(F.min("below").alias("least"))
+    least = materialize(least, "least")
     moved = down.join(least, "id").select(F.col("below").alias("src"), F.col("least").alias("dst"))
     kept = least.select(F.col("id").alias("src"), F.col("least").alias("dst"))
     return moved.where("src != dst").unionByName(kept).distinct()
@@ -43,7 +44,7 @@ def connected_components(
     seen = None
     done = False
     for _ in range(max_rounds):
-        stars = checkpoint(_small_star(_large_star(stars)))
+        stars = checkpoint(_small_star(checkpoint(_large_star(stars))))
         # Rows, sum of ids and sum of hashes of the edge set: equal twice in a row means stable.
         mark = stars.agg(
             F.count(F.lit(1)),

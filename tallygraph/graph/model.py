@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallygraph.operators.skew import per_key_join
+
 
 def edge_list(spark: SparkSession, path: str, canonical: bool = False) -> DataFrame:
     """Edges of a whitespace-separated text file. Lines starting with ``#`` are comments."""
@@ -89,7 +91,7 @@ def in_neighbours(
         .where((F.col("neighbours") > more_than) & (F.col("neighbours") <= at_most))
     )
     return (
-        links.join(sizes, "dst")
+        per_key_join(links, sizes, ["dst"])
         .groupBy(F.col("dst").alias("id"), "neighbours")
         .agg(F.sort_array(F.collect_list("src")).alias("ids"))
     )

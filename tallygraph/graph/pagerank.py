@@ -6,36 +6,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallygraph.graph.model import vertices_of
+from tallygraph.graph.slots import EDGES_PER_SLOT, SlottedEdges, slotted
+from tallygraph.operators.skew import per_key_join
 from tallygraph.storage import checkpoint, materialize
 
 RESET = 0.15
 DAMPING = 0.85
 
 
-def _weighted(edges: DataFrame) -> DataFrame:
+def _weighted(edges: DataFrame, edges_per_slot: int) -> SlottedEdges:
     """Edges with the share of its rank that the source sends along each of them."""
+    edges = materialize(edges.select("src", "dst"), "edges")
     out = edges.groupBy("src").agg((F.lit(1.0) / F.count(F.lit(1))).alias("share"))
-    return edges.select("src", "dst").join(out, "src")
+    weighted = materialize(per_key_join(edges, out, ["src"]), "weighted-edges")
+    return slotted(weighted, "src", edges_per_slot)
 
 
-def _round(ranks: DataFrame, weighted: DataFrame, base: DataFrame | None) -> DataFrame:
+def _round(ranks: DataFrame, weighted: SlottedEdges, base: DataFrame | None) -> DataFrame:
     """One round. ``base`` rows (id, part) keep vertices alive that nobody links to.
 
-    The ranks leave the sum already partitioned by id, so the next join moves only the edges, and
-    their exchange is the same in every round of one plan and is run once.
+    The exchange of edges is the same in every round of one plan and is run once. Ranks leave the
+    sum partitioned by id, so without hubs a round moves nothing but the summed parts.
     """
-    parts = ranks.join(weighted, ranks["id"] == weighted["src"]).select(
-        weighted["dst"].alias("id"), (F.col("rank") * F.col("share")).alias("part")
+    parts = weighted.join(ranks).select(
+        F.col("dst").alias("id"), (F.col("rank") * F.col("share")).alias("part")
     )
     if base is not None:
         parts = parts.unionByName(base)
     return parts.groupBy("id").agg((F.lit(RESET) + DAMPING * F.sum("part")).alias("rank"))
 
 
-def pagerank_links(links: DataFrame, rounds: int = 10, rounds_per_plan: int = 5) -> DataFrame:
+def pagerank_links(
+    links: DataFrame,
+    rounds: int = 10,
+    rounds_per_plan: int = 5,
+    edges_per_slot: int = EDGES_PER_SLOT,
+) -> DataFrame:
     """Ranks from distinct links, starting at 1. Pages nobody links to drop out after one round."""
-    weighted = materialize(_weighted(links.select("src", "dst").distinct()), "links")
-    ranks = weighted.select(F.col("src").alias("id")).distinct().withColumn("rank", F.lit(1.0))
+    weighted = _weighted(links.select("src", "dst").distinct(), edges_per_slot)
+    ranks = weighted.edges.select(F.col("src").alias("id")).distinct().withColumn("rank", F.lit(1.0))
     for i in range(1, rounds + 1):
         ranks = _round(ranks, weighted, None)
         if i % rounds_per_plan == 0 and i < rounds:
@@ -43,9 +52,12 @@ def pagerank_links(links: DataFrame, rounds: int = 10, rounds_per_plan: int = 5)
     return ranks
 
 
-def _start(edges: DataFrame, vertices: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    weighted = materialize(_weighted(edges), "weighted-edges")
-    ids = checkpoint((vertices_of(weighted) if vertices is None else vertices).select("id"))
+def _start(
+    edges: DataFrame, vertices: DataFrame | None, edges_per_slot: int
+) -> tuple[SlottedEdges, DataFrame, DataFrame]:
+    weighted = _weighted(edges, edges_per_slot)
+    ids = vertices_of(weighted.edges) if vertices is None else vertices.select("id")
+    ids = checkpoint(ids)
     return weighted, ids, ids.withColumn("part", F.lit(0.0))
 
 
@@ -62,9 +74,10 @@ def pagerank_static(
     rounds: int = 10,
     vertices: DataFrame | None = None,
     rounds_per_plan: int = 5,
+    edges_per_slot: int = EDGES_PER_SLOT,
 ) -> DataFrame:
     """Ranks of all vertices after a fixed number of rounds, scaled to sum to their number."""
-    weighted, ids, base = _start(edges, vertices)
+    weighted, ids, base = _start(edges, vertices, edges_per_slot)
     ranks = ids.withColumn("rank", F.lit(1.0))
     for i in range(1, rounds + 1):
         ranks = _round(ranks, weighted, base)
@@ -79,12 +92,13 @@ def pagerank_until(
     vertices: DataFrame | None = None,
     max_rounds: int = 500,
     rounds_per_plan: int = 5,
+    edges_per_slot: int = EDGES_PER_SLOT,
 ) -> tuple[DataFrame, bool]:
     """Ranks once no rank moves by more than the tolerance, and whether that was reached.
 
     The largest move is looked at every ``rounds_per_plan`` rounds.
     """
-    weighted, ids, base = _start(edges, vertices)
+    weighted, ids, base = _start(edges, vertices, edges_per_slot)
     ranks = ids.withColumn("rank", F.lit(1.0))
     done = False
     for _ in range(0, max_rounds, rounds_per_plan):

@@ -17,8 +17,11 @@ def triangle_count(edges: DataFrame, vertices: DataFrame | None = None) -> DataF
     is gathered, and each triangle is found once, as a common successor of both ends of an edge.
     """
     ids = vertices_of(edges) if vertices is None else vertices.select("id")
-    simple = canonical_edges(edges.where("src != dst")).distinct()
+    simple = materialize(canonical_edges(edges.where("src != dst")).distinct(), "simple-edges")
     degree = both_directions(simple).groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
+    # Per-vertex tables are written before they are joined to edges, so that adaptive execution
+    # can split the joins at hubs (see operators.skew.per_key_join).
+    degree = materialize(degree, "degrees")
 
     def of(end: str) -> DataFrame:
         return degree.select(F.col("id").alias(end), F.struct("degree", "id").alias(f"{end}_rank"))
@@ -33,6 +36,7 @@ def triangle_count(edges: DataFrame, vertices: DataFrame | None = None) -> DataF
         "pointed-edges",
     )
     successors = pointed.groupBy("low").agg(F.collect_list("high").alias("next"))
+    successors = materialize(successors, "successors")
     # The list of the higher end is attached first: that end is the one many edges point to, and
     # its list is the short one.
     common = (

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallygraph.storage import materialize
+
 
 def grouped_lists(
     df: DataFrame,
@@ -24,12 +26,16 @@ def grouped_lists(
     """
     weight = F.col(times) if times else F.lit(1)
     counted = df.groupBy(*keys, item).agg(F.sum(weight).cast("bigint").alias("_n"))
+    counted = materialize(counted.where("_n > 0"), "counted-items")
     needed = F.ceil(F.sum("_n") / max_items).cast("bigint")
     hot = counted.groupBy(*keys).agg(needed.alias("_parts")).where("_parts > 1")
+    hot = materialize(hot, "hot-keys")
+    if hot.isEmpty():
+        return counted.groupBy(*keys).agg(F.lit(0).alias("part"), _copies(item).alias(alias))
 
     # One row per run of at most max_items copies of an item.
     run = F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / max_items).cast("int")))
-    runs = counted.where("_n > 0").select(*keys, item, "_n", run.alias("_run")).withColumn(
+    runs = counted.select(*keys, item, "_n", run.alias("_run")).withColumn(
         "_n", F.least(F.lit(max_items).cast("bigint"), F.col("_n") - F.col("_run") * max_items)
     )
     part = F.when(F.col("_parts").isNull(), 0).otherwise(
@@ -39,13 +45,17 @@ def grouped_lists(
     # Named explicitly: partitioning by key alone would also satisfy the grouping below, and
     # would bring a hot key back into one task.
     spread = spread.repartition(*keys, "part")
-    copies = F.flatten(
+    return spread.groupBy(*keys, "part").agg(_copies(item).alias(alias))
+
+
+def _copies(item: str) -> Column:
+    """Sorted list of a group's items, each as often as its ``_n`` says."""
+    return F.flatten(
         F.transform(
             F.sort_array(F.collect_list(F.struct(item, "_n"))),
             lambda e: F.array_repeat(e[item], e["_n"].cast("int")),
         )
     )
-    return spread.groupBy(*keys, "part").agg(copies.alias(alias))
 
 
 def joined_lists(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallygraph.functions.scalar import epoch_date
+from tallygraph.operators.skew import per_key_join
 
 RELATION_COLUMNS = ["user_id", "val", "addtime", "edge_id", "node_id", "sub_rel", "rel"]
 
@@ -125,7 +126,7 @@ def shared_members(
         .where((F.col("_size") > more_than) & (F.col("_size") <= at_most))
         .drop("_size")
     )
-    return source.select(*value_keys, member).distinct().join(sizes, value_keys)
+    return per_key_join(source.select(*value_keys, member).distinct(), sizes, value_keys)
 
 
 def co_member_pairs(members: DataFrame, value_keys: list[str], member: str) -> DataFrame:

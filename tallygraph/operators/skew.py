@@ -1,10 +1,12 @@
-"""Two-stage aggregation and salted joins for keys that hold a large share of the rows."""
+"""Aggregations and joins for keys that hold a large share of the rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallygraph.storage import materialize
+
 
 def salted_aggregate(
     df: DataFrame,
@@ -57,3 +59,15 @@ def salted_join(
     spread = spread.drop("_salts").withColumn("_salt", F.col("_salt").cast("bigint"))
     spread = spread.repartition(key, "_salt")
     return spread.join(repeated, [key, "_salt"], how).drop("_salt")
+
+
+def per_key_join(
+    rows: DataFrame, per_key: DataFrame, keys: list[str], how: str = "inner"
+) -> DataFrame:
+    """Join rows to a table with one row per key that was itself aggregated by that key.
+
+    Adaptive execution splits a skewed join partition only when both inputs come straight from a
+    shuffle. An aggregate right below the join would hide the skew of ``rows``, so the per-key
+    table is written first; that also gives the planner its true size.
+    """
+    return rows.join(materialize(per_key, "per-key"), keys, how)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallygraph.functions.scalar import epoch_millis, property_digest
 from tallygraph.operators.lists import joined_lists
+from tallygraph.operators.skew import per_key_join
 
 
 def node_sizes(source: DataFrame, at_least: int, below: int) -> DataFrame:
@@ -20,7 +21,7 @@ def all_relation(
 ) -> DataFrame:
     """Every source row of a shared value, with readable time."""
     added = F.timestamp_millis(epoch_millis(F.col("addtime")))
-    return source.join(node_sizes(source, at_least, below), "node_id").select(
+    return per_key_join(source, node_sizes(source, at_least, below), ["node_id"]).select(
         F.col("rel").alias("match_type"),
         F.col("sub_rel").alias("match_subtype"),
         F.col("val").alias("match_value"),
@@ -64,9 +65,8 @@ def group_relation(
     ``match_count`` counts all users of a value, the counters only classified ones. A user list
     is shorter than ``below``.
     """
-    sized = source.select("node_id", "user_id").distinct().join(
-        node_sizes(source, at_least, below), "node_id"
-    )
+    users = source.select("node_id", "user_id").distinct()
+    sized = per_key_join(users, node_sizes(source, at_least, below), ["node_id"])
     named = sized.join(source.select("node_id", "val", "rel").distinct(), "node_id")
     profile = classify.select(
         "user_id",

@@ -42,9 +42,10 @@ def normal(columns, rows):
 
 def compare(db, sql: str, frame) -> str | None:
     """None when the rows agree, otherwise what differs."""
+    got_names, got = normal(frame.columns, [tuple(r) for r in frame.collect()])
+    compare.spark_done = time.time()
     result = db.execute(sql)
     want_names, want = normal([d[0] for d in result.description], result.fetchall())
-    got_names, got = normal(frame.columns, [tuple(r) for r in frame.collect()])
     if want_names != got_names:
         return f"columns {got_names} != {want_names}"
     if len(want) != len(got):
@@ -69,7 +70,7 @@ def main(folder: str, names: list[str]) -> None:
             frame = QUERIES[name](spark, folder)
             if name in ORACLES:
                 problem = compare(db, ORACLES[name], frame)
-                rows = ""
+                rows = f"(sql {time.time() - compare.spark_done:.2f}s)"
             else:
                 problem, rows = None, f"(rows only: {frame.count()})"
         except Exception as error:  # report and go on with the next query
