@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallygraph.functions.scalar import between_markers, network_label
+from tallygraph.functions.scalar import network_label
 
 CONDITION = (
     "condition STRUCT<progressKey: STRING, actionName: STRING, status: STRING, "
@@ -24,13 +24,20 @@ DURATION_COLUMNS = (
 
 
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Log time and condition fields of every line; malformed lines are dropped."""
+    """Log time and condition fields of every line; malformed lines are dropped.
+
+    The time stands between the first two commas, not counting one at the very start; the JSON text
+    starts at the first ``,{``.
+    """
     value = F.col(column)
-    at = F.try_to_timestamp(between_markers(value, r"^.[^,]*,([^,]*),"), F.lit("yyyy-MM-dd HH:mm:ss.SSS"))
-    body = F.from_json(between_markers(value, r"(?s),(\{.*)$"), CONDITION)
-    return lines.select(at.alias("at"), body["condition"].alias("c")).where(
-        F.col("at").isNotNull() & F.col("c.progressKey").isNotNull()
-    ).select("at", "c.*")
+    rest = F.substring(value, F.lit(2), F.length(value))
+    at = F.try_to_timestamp(F.get(F.split(rest, ",", 3), F.lit(1)), F.lit("yyyy-MM-dd HH:mm:ss.SSS"))
+    start = F.instr(value, ",{")
+    body = F.from_json(F.when(start > 0, F.substring(value, start + 1, F.length(value))), CONDITION)
+    line = F.struct(at.alias("at"), body["condition"].alias("c"))
+    # Filtered inside an array: a filter on the columns would be pushed below and parse a line twice.
+    usable = F.filter(F.array(line), lambda x: x["at"].isNotNull() & x["c"]["progressKey"].isNotNull())
+    return lines.select(F.inline(usable)).select("at", "c.*")
 
 
 def _step(name: tuple[str, str]) -> Column:
@@ -44,11 +51,9 @@ def session_durations(parsed: DataFrame, window: str = "5 minutes") -> DataFrame
 
     A session that lacks either step has no duration. Fields are those of the latest line.
     """
-    latest = F.struct("at", "actionName", "status")
+    latest = F.max(F.struct("at", "actionName", "status", "appversion", "network", "ostype"))
     sessions = parsed.groupBy(F.window("at", window).alias("window"), "progressKey").agg(
-        F.max_by("appversion", latest).alias("version"),
-        F.lower(F.max_by("network", latest)).alias("network"),
-        F.lower(F.max_by("ostype", latest)).alias("os"),
+        latest.alias("latest"),
         (F.unix_millis(F.max("at")) - F.unix_millis(F.min("at"))).alias("span"),
         _step(CONFIG_STEP).alias("config"),
         _step(RIDE_STEP).alias("ride"),
@@ -56,9 +61,9 @@ def session_durations(parsed: DataFrame, window: str = "5 minutes") -> DataFrame
     return sessions.select(
         F.col("window.start").alias("point_time"),
         "progressKey",
-        "version",
-        "network",
-        "os",
+        F.col("latest.appversion").alias("version"),
+        F.lower("latest.network").alias("network"),
+        F.lower("latest.ostype").alias("os"),
         (F.col("span") - F.abs(F.col("config") - F.col("ride"))).alias("duration"),
     )
 

@@ -88,15 +88,15 @@ def app_log_lines(spark, folder):
 
 LOAD_DELAY_SQL = f"""
 WITH steps AS (
-  SELECT event_id, user_id, event_type, epoch_ms(ts) + o.off AS at, o.step AS step
+  SELECT event_id, user_id, event_type, epoch_ms(ts) + o.off AS t, o.step AS step
   FROM (SELECT event_id, user_id, event_type, ts,
                unnest([{{'off': 0, 'step': 0}}, {{'off': 50 + event_id % 7 * 10, 'step': 1}},
                        {{'off': 80 + event_id % 11 * 10, 'step': 2}},
                        {{'off': 200 + CAST(floor(value * 100) AS BIGINT), 'step': 3}}]) AS o FROM events)),
 kept AS (SELECT * FROM steps WHERE NOT (event_type = 'error' AND step = 2) AND NOT (event_id % 50 = 7 AND step = 0)),
 sessions AS (
-  SELECT at // 300000 AS w, event_id, any_value(user_id) AS user_id,
-         max(at) - min(at) - abs(max(at) FILTER (WHERE step = 1) - max(at) FILTER (WHERE step = 2)) AS duration
+  SELECT t // 300000 AS w, event_id, any_value(user_id) AS user_id,
+         max(t) - min(t) - abs(max(t) FILTER (WHERE step = 1) - max(t) FILTER (WHERE step = 2)) AS duration
   FROM kept GROUP BY 1, 2),
 usable AS (
   SELECT w, '5.' || (user_id % 4) AS version, ['2G', '3G/4G', '3G/4G', 'Wifi', '其他'][CAST(user_id % 5 AS INTEGER) + 1] AS network,
