@@ -1 +1,8 @@
 """Table, graph and stream analytics on Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with the job, so workers need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tallygraph.queries.registry import ORACLES, QUERIES
 
-for _name in ("relational", "storage", "relations", "graphs", "logs", "learning"):
+for _name in ("relational", "storage", "relations", "graphs", "logs", "learning", "streams"):
     import_module(f"tallygraph.queries.{_name}")
 
 __all__ = ["ORACLES", "QUERIES"]

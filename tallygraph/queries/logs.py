@@ -88,7 +88,7 @@ def app_log_lines(spark, folder):
 
 LOAD_DELAY_SQL = f"""
 WITH steps AS (
-  SELECT event_id, user_id, event_type, epoch_ms(ts) + o.off AS t, o.step AS step
+  SELECT event_id, user_id, event_type, epoch_us(ts) // 1000 + o.off AS t, o.step AS step
   FROM (SELECT event_id, user_id, event_type, ts,
                unnest([{{'off': 0, 'step': 0}}, {{'off': 50 + event_id % 7 * 10, 'step': 1}},
                        {{'off': 80 + event_id % 11 * 10, 'step': 2}},

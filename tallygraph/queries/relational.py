@@ -116,7 +116,7 @@ def clean_relations_since(spark, folder):
 
 @query(
     """
-    SELECT event_id, CASE WHEN event_id % 2 = 0 THEN CAST(epoch_ms(ts) AS BIGINT)
+    SELECT event_id, CASE WHEN event_id % 2 = 0 THEN epoch_us(ts) // 1000
                           ELSE CAST(floor(epoch(ts)) AS BIGINT) * 1000 END AS millis,
            strftime(ts, '%Y-%m-%d %H:%M:%S') AS at
     FROM events

@@ -63,17 +63,20 @@ def string_schema(names: Sequence[str]) -> str:
     return ", ".join(f"`{name}` STRING" for name in names)
 
 
+def fields(text: Column, names: Sequence[tuple[str, str]], sep: str = ",") -> list[Column]:
+    """Typed columns ``(name, type)`` of delimited text; a field that does not parse is null."""
+    parts = F.split(text, sep)
+    return [
+        F.trim(F.get(parts, F.lit(i))).try_cast(kind).alias(name)
+        for i, (name, kind) in enumerate(names)
+    ]
+
+
 def split_columns(
-    lines: DataFrame, fields: Sequence[tuple[str, str]], sep: str = ",", column: str = "value"
+    lines: DataFrame, names: Sequence[tuple[str, str]], sep: str = ",", column: str = "value"
 ) -> DataFrame:
-    """Delimited text as typed columns ``(name, type)``; a field that does not parse is null."""
-    parts = F.split(F.col(column), sep)
-    return lines.select(
-        *[
-            F.trim(F.get(parts, F.lit(i))).try_cast(kind).alias(name)
-            for i, (name, kind) in enumerate(fields)
-        ]
-    )
+    """Delimited text lines as a table of :func:`fields`."""
+    return lines.select(*fields(F.col(column), names, sep))
 
 
 def keyed_attributes(lines: DataFrame, sep: str = ",", column: str = "value") -> DataFrame:

@@ -26,11 +26,13 @@ def _plain(value):
     if isinstance(value, bool) or value is None:
         return value
     if isinstance(value, float):
+        if value.is_integer() and abs(value) < 2**53:
+            return int(value)
         return "nan" if math.isnan(value) else float(f"{value:.9g}")
     if hasattr(value, "as_tuple"):
-        return float(f"{float(value):.9g}")
+        return _plain(float(value))
     if isinstance(value, int):
-        return float(f"{float(value):.9g}") if abs(value) < 2**53 else value
+        return value
     return str(value)
 
 
