@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -15,14 +17,14 @@ def average(value: Column) -> Column:
     return F.when(count == 0, F.lit(float("nan"))).otherwise(F.try_divide(F.sum(value.cast("double")), count))
 
 
-def _merge_averages(sums: pd.Series, counts: pd.Series) -> float:
-    total = counts.sum()
-    return float(sums.fillna(0.0).sum() / total) if total else float("nan")
+def _merge_averages(sums: pa.Array, counts: pa.Array) -> float:
+    total = pc.sum(counts).as_py()
+    return pc.sum(sums).as_py() / total if total else float("nan")
 
 
 def register_average(spark: SparkSession, name: str = "my_average") -> None:
     """Register a SQL aggregate that merges ``(sum, count)`` partials and finishes the mean."""
-    spark.udf.register(name, F.pandas_udf(_merge_averages, DoubleType()))
+    spark.udf.register(name, F.arrow_udf(_merge_averages, DoubleType()))
 
 
 def average_partials(df: DataFrame, keys: list[str], value: str, spread: int = 32) -> DataFrame:

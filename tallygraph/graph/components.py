@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallygraph.graph.model import both_directions, vertices_of
 from tallygraph.operators.skew import per_key_join
-from tallygraph.storage import checkpoint, materialize
+from tallygraph.storage import checkpoint
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -25,7 +25,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
     """Link each vertex and its smaller neighbours to the smallest of them."""
     down = edges.select(F.greatest("src", "dst").alias("id"), F.least("src", "dst").alias("below"))
     least = down.groupBy("id").agg(F.min("below").alias("least"))
-    least = materialize(least, "least")
+    least = checkpoint(least)
     moved = down.join(least, "id").select(F.col("below").alias("src"), F.col("least").alias("dst"))
     kept = least.select(F.col("id").alias("src"), F.col("least").alias("dst"))
     return moved.where("src != dst").unionByName(kept).distinct()

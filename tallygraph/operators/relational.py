@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallygraph.functions.scalar import epoch_date
 from tallygraph.operators.skew import per_key_join
+from tallygraph.storage import materialize
 
 RELATION_COLUMNS = ["user_id", "val", "addtime", "edge_id", "node_id", "sub_rel", "rel"]
 
@@ -119,14 +120,18 @@ def shared_members(
     ``members`` is the distinct number in either case. Values are counted first, so a value outside
     the range never has its members gathered, whatever share of the rows it holds.
     """
-    size = F.count(F.lit(1)) if count_rows else F.count_distinct(member)
+    # Written once: the sizes and the join below would otherwise both run the source.
+    members = materialize(
+        source.groupBy(*value_keys, member).agg(F.count(F.lit(1)).alias("_rows")), "members"
+    )
+    size = F.sum("_rows") if count_rows else F.count(F.lit(1))
     sizes = (
-        source.groupBy(*value_keys)
-        .agg(F.count_distinct(member).alias("members"), size.alias("_size"))
+        members.groupBy(*value_keys)
+        .agg(F.count(F.lit(1)).alias("members"), size.alias("_size"))
         .where((F.col("_size") > more_than) & (F.col("_size") <= at_most))
         .drop("_size")
     )
-    return per_key_join(source.select(*value_keys, member).distinct(), sizes, value_keys)
+    return per_key_join(members.drop("_rows"), sizes, value_keys)
 
 
 def co_member_pairs(members: DataFrame, value_keys: list[str], member: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallygraph.storage import materialize
+from tallygraph.storage import checkpoint
 
 
 def salted_aggregate(
@@ -68,6 +68,6 @@ def per_key_join(
 
     Adaptive execution splits a skewed join partition only when both inputs come straight from a
     shuffle. An aggregate right below the join would hide the skew of ``rows``, so the per-key
-    table is written first; that also gives the planner its true size.
+    table is cut off first.
     """
-    return rows.join(materialize(per_key, "per-key"), keys, how)
+    return rows.join(checkpoint(per_key), keys, how)
