@@ -85,7 +85,7 @@ def stream_sliding_count(spark, folder):
 @query(
     """
     WITH marked AS (
-      SELECT user_id, ts, CASE WHEN ts >= lag(ts) OVER w + INTERVAL 10 MINUTE THEN 1 ELSE 0 END AS opens
+      SELECT user_id, ts, CASE WHEN ts > lag(ts) OVER w + INTERVAL 10 MINUTE THEN 1 ELSE 0 END AS opens
       FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
     numbered AS (SELECT user_id, ts, sum(opens) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM marked)
     SELECT user_id, count(*) AS num_events, epoch_us(min(ts)) AS first_at, epoch_us(max(ts)) AS last_at

@@ -79,7 +79,7 @@ def session_updates(
 def gap_sessions(
     events: DataFrame, session: str, time: str, gap: str, watermark: str | None = None
 ) -> DataFrame:
-    """Sessions closed by a gap in event time: count, first and last event."""
+    """Sessions closed by more than a gap in event time: count, first and last event."""
     if watermark:
         events = events.withWatermark(time, watermark)
     return (
