@@ -42,5 +42,8 @@ def appointments(lines: DataFrame, as_of: str | Column, days: int = 2, column: s
 
 
 def append_appointments(rows: DataFrame, path: str) -> None:
-    """Append to a Parquet table partitioned by day; the rows of a day share few files."""
-    rows.repartition("pt").write.mode("append").partitionBy("pt").parquet(path)
+    """Append to a Parquet table partitioned by day.
+
+    Rows are rebalanced by day: small days share a task and a large one is split over several.
+    """
+    rows.hint("rebalance", "pt").write.mode("append").partitionBy("pt").parquet(path)

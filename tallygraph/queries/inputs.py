@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygraph.session import table
+from tallygraph.storage import materialize
 
 
 def json_key(props):
@@ -63,7 +64,7 @@ shipment_relations AS (
 
 
 def user_classify(spark: SparkSession, folder: str) -> DataFrame:
-    """Classification flags of every customer."""
+    """Classification flags of every customer, written as the stored table such flags would be."""
     last = (
         table(spark, folder, "orders")
         .groupBy("o_custkey")
@@ -73,7 +74,7 @@ def user_classify(spark: SparkSession, folder: str) -> DataFrame:
         )
     )
     customer = table(spark, folder, "customer")
-    return customer.join(last, customer["c_custkey"] == last["o_custkey"], "left").select(
+    flags = customer.join(last, customer["c_custkey"] == last["o_custkey"], "left").select(
         F.col("c_custkey").alias("user_id"),
         (F.col("c_custkey") % 3 + 1).cast("int").alias("flag"),
         "last_order_nid",
@@ -83,6 +84,7 @@ def user_classify(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("c_nationkey") < 5).cast("int").alias("is_blacklist"),
         (F.col("c_acctbal") < 0).cast("int").alias("is_overdue"),
     )
+    return materialize(flags, "user-classify")
 
 
 USER_CLASSIFY_SQL = """

@@ -44,7 +44,7 @@ def log_query(spark, folder):
     return summarize_log(web_log_lines(spark, folder))
 
 
-def app_log_lines(spark, folder):
+def app_log_lines(events):
     """Four lines per event: start, configuration, ride configuration and end of one session.
 
     Sessions of type error lack the ride step; every 50th session has a broken first line.
@@ -64,7 +64,7 @@ def app_log_lines(spark, folder):
         step(80 + event % 11 * 10, "client.init.getRideConfig", "1"),
         step(200 + F.floor(F.col("value") * 100), "client.init.done", "1"),
     )
-    rows = table(spark, folder, "events").select(
+    rows = events.select(
         event, at.alias("at"), network.alias("network"), os.alias("os"), "event_type", "user_id", F.explode(steps).alias("s")
     )
     rows = rows.where(~((F.col("event_type") == "error") & (F.col("s.action") == "client.init.getRideConfig")))
@@ -110,7 +110,7 @@ FROM usable GROUP BY w, version, network, os"""
 
 @query(LOAD_DELAY_SQL)
 def load_delay_histogram(spark, folder):
-    histogram = load_delay(app_log_lines(spark, folder))
+    histogram = load_delay(app_log_lines(table(spark, folder, "events")))
     return histogram.withColumn("point_time", F.date_format("point_time", "yyyy-MM-dd HH:mm:ss"))
 
 

@@ -216,6 +216,5 @@ def stream_appointments(spark, folder):
 @query(LOAD_DELAY_SQL)
 def stream_load_delay(spark, folder):
     """Start-up histogram of every batch of log lines; here one batch holds all lines."""
-    lines = replay(app_log_lines(spark, folder).withColumn("one", F.lit(1)), "one", 1)
-    per_batch = run_batches(lines.select("value"), load_delay)
+    per_batch = run_batches(app_log_lines(stream_table(spark, folder, "events")), load_delay)
     return per_batch.drop("batch_id").withColumn("point_time", F.date_format("point_time", "yyyy-MM-dd HH:mm:ss"))

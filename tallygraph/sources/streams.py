@@ -69,10 +69,18 @@ def union_streams(streams: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, streams)
 
 
-def replay(df: DataFrame, order_by: str, batches: int, files_per_batch: int = 1) -> DataFrame:
-    """A table as a stream of about ``batches`` micro-batches, each a range of ``order_by``."""
+def replay(
+    df: DataFrame, order_by: str, batches: int, files_per_batch: int | None = None
+) -> DataFrame:
+    """A table as a stream of about ``batches`` micro-batches, each made of ranges of ``order_by``.
+
+    By default the files of all batches keep every task slot busy. Rows of one ``order_by`` value
+    are split further by content, so a frequent value does not end up in one file.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, "replay")
-    df.repartitionByRange(batches * files_per_batch, order_by).write.parquet(path)
+    files_per_batch = files_per_batch or max(1, spark.sparkContext.defaultParallelism // batches)
+    ranges = df.repartitionByRange(batches * files_per_batch, order_by, F.xxhash64(*df.columns))
+    ranges.write.parquet(path)
     schema = spark.read.parquet(path).schema
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)

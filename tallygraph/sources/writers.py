@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def write_parquet(
@@ -46,13 +47,17 @@ def save_table(
     buckets: int = 0,
     sort_by: str | None = None,
     path: str | None = None,
+    files_per_bucket: int = 1,
 ) -> None:
     """Table, partitioned, or bucketed and sorted for joins without a shuffle.
 
-    Without a path it is a managed table of the warehouse. Rows are first hashed by the bucket column, so that each bucket is one file and not one per task.
+    Without a path it is a managed table of the warehouse. Rows are first hashed by the bucket
+    column, so that a bucket is written by one task and not by all of them. ``files_per_bucket``
+    spreads each key over several tasks, for buckets that are too large for one.
     """
     if bucket_by:
-        df = df.repartition(buckets, bucket_by)
+        spread = [F.pmod(F.xxhash64(*df.columns), F.lit(files_per_bucket))] if files_per_bucket > 1 else []
+        df = df.repartition(buckets * files_per_bucket, bucket_by, *spread)
     writer = df.write.mode(mode)
     if path:
         writer = writer.option("path", path)

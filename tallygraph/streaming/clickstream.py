@@ -68,7 +68,7 @@ def popular_users_seen(views: DataFrame, users: DataFrame, n: int = 10) -> DataF
     """First n listed users ``(userID, name)`` that each batch has seen, in order of their id."""
 
     def seen(batch: DataFrame) -> DataFrame:
-        present = users.join(batch.select("userID"), "userID", "left_semi")
+        present = users.join(batch.select("userID").distinct(), "userID", "left_semi")
         return present.orderBy("userID").limit(n)
 
     return run_batches(views, seen)
