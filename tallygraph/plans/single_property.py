@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallygraph.functions.scalar import epoch_millis, property_digest
 from tallygraph.operators.lists import joined_lists
 from tallygraph.operators.skew import per_key_join
+from tallygraph.storage import materialize
 
 
 def node_sizes(source: DataFrame, at_least: int, below: int) -> DataFrame:
@@ -65,9 +66,11 @@ def group_relation(
     ``match_count`` counts all users of a value, the counters only classified ones. A user list
     is shorter than ``below``.
     """
-    users = source.select("node_id", "user_id").distinct()
-    sized = per_key_join(users, node_sizes(source, at_least, below), ["node_id"])
-    named = sized.join(source.select("node_id", "val", "rel").distinct(), "node_id")
+    # The source is read once; sizes, users and names come from its distinct memberships.
+    members = materialize(source.select("node_id", "rel", "val", "user_id").distinct(), "members")
+    users = members.select("node_id", "user_id").distinct()
+    sized = per_key_join(users, node_sizes(members, at_least, below), ["node_id"])
+    named = sized.join(members.select("node_id", "val", "rel").distinct(), "node_id")
     profile = classify.select(
         "user_id",
         _one("if_last_order_success").alias("_success"),
