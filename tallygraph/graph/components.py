@@ -31,33 +31,29 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.where("src != dst").unionByName(kept).distinct()
 
 
-def connected_components(
-    edges: DataFrame, vertices: DataFrame | None = None, max_rounds: int = 100
-) -> tuple[DataFrame, bool]:
-    """Lowest vertex id of the component of each vertex, directions ignored.
+def connected_components(edges: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
+    """Lowest vertex id of the component of each vertex, directions ignored: ``(id, component)``.
 
-    Returns ``(id, component)`` and whether the search finished. The number of rounds grows with
-    the logarithm of the number of vertices, not with the length of the longest path.
+    Runs until a round changes nothing. The number of rounds grows with the logarithm of the
+    number of vertices, not with the length of the longest path.
     """
     ids = vertices_of(edges) if vertices is None else vertices.select("id")
     stars = checkpoint(edges.select("src", "dst").where("src != dst").distinct())
     seen = None
-    done = False
-    for _ in range(max_rounds):
-        stars = checkpoint(_small_star(checkpoint(_large_star(stars))))
+    while True:
         # Rows, sum of ids and sum of hashes of the edge set: equal twice in a row means stable.
         mark = stars.agg(
             F.count(F.lit(1)),
             F.sum(F.col("dst").cast("decimal(38,0)")),
             F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)")),
         ).first()
-        if mark == seen:
-            done = True
+        if mark == seen or mark[0] == 0:
             break
         seen = mark
+        stars = checkpoint(_small_star(checkpoint(_large_star(stars))))
     component = F.coalesce(F.col("dst"), F.col("id")).alias("component")
     labelled = ids.join(stars.withColumnRenamed("src", "id"), "id", "left")
-    return labelled.select("id", component), done
+    return labelled.select("id", component)
 
 
 def component_count(labels: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from tallygraph.queries.inputs import (
     shipment_relations,
     user_classify,
 )
+from tallygraph.operators.skew import per_key_join
 from tallygraph.queries.registry import query
 from tallygraph.storage import materialize
 
@@ -183,11 +184,11 @@ labels AS (SELECT id, min(label) AS component FROM reach GROUP BY id)"""
 
 
 def _components(spark, folder):
-    pairs = co_member_pairs(_members(spark, folder), ["node_id", "value"], "user_id")
-    labels, done = find_components(pairs.select("src", "dst"))
-    if not done:
-        raise RuntimeError("components did not settle")
-    return labels
+    """Linking every member to the smallest of its value gives the components of all pairs."""
+    members = _members(spark, folder)
+    least = members.groupBy("node_id", "value").agg(F.min("user_id").alias("dst"))
+    stars = per_key_join(members, least, ["node_id", "value"]).where("user_id != dst")
+    return find_components(stars.select(F.col("user_id").alias("src"), "dst"))
 
 
 @query(f"{COMPONENTS_SQL} SELECT id, component FROM labels")

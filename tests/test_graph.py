@@ -52,22 +52,22 @@ def test_triangles_of_a_hub(spark):
 
 
 def test_components(edges, vertices, rows):
-    found, done = components.connected_components(edges, vertices)
-    assert done
+    found = components.connected_components(edges, vertices)
     assert dict(rows(found)) == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 6: 1, 7: 7, 8: 8}
     assert rows(components.component_count(found)) == [(3,)]
 
 
 def test_components_of_a_long_path(spark):
     path = spark.range(1, 200).selectExpr("id AS src", "id + 1 AS dst")
-    found, done = components.connected_components(path, max_rounds=30)
-    assert done
+    found = components.connected_components(path)
+    assert found.count() == 200
     assert found.where("component != 1").count() == 0
 
 
-def test_components_report_unfinished(spark):
-    path = spark.range(1, 200).selectExpr("id AS src", "id + 1 AS dst")
-    assert components.connected_components(path, max_rounds=1)[1] is False
+def test_components_without_edges(spark, vertices, rows):
+    none = spark.createDataFrame([], "src BIGINT, dst BIGINT")
+    assert components.connected_components(none).isEmpty()
+    assert dict(rows(components.connected_components(none, vertices))) == {i: i for i in range(1, 9)}
 
 
 def test_shortest_paths(edges, vertices, rows):
