@@ -10,10 +10,16 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 MODULES = (
+    "suffix_dedup",
+    "substring_dedup",
     "url_rules",
+    "metric_search",
     "decontaminate",
     "byte_pairs",
+    "line_dedup",
     "simhash",
+    "toxicity",
+    "quality",
 )
 
 
