@@ -2,8 +2,8 @@
 
 The kernel of two strings counts the subsequences of three characters they share, each weighted
 down by the gaps it spans, so an insult with a character put in or left out stays close to itself.
-The kernel of a sentence and a landmark is that of the landmark and the closest stretch of a word
-of the sentence. Landmarks are word beginnings that tell toxic training documents from clean ones;
+Normalised and taken to the fourth power (which is a kernel again), it is compared with the
+beginnings of words about as long as a landmark; the most toxic word of a sentence counts. Landmarks are word beginnings that tell toxic training documents from clean ones;
 the Nystroem map through them makes the kernel machine a linear one, trained on labelled sentences.
 A document scores as its most toxic sentence does.
 """
@@ -22,11 +22,13 @@ from tallygraph.llm.labelled import remainder, sample
 from tallygraph.llm.text import SPACE, byte_prefix, joined, slices, span_hash, words
 from tallygraph.session import table
 
-LANDMARKS = 64
-SHORTEST, LONGEST = 4, 10  # bytes of a landmark
+LANDMARKS = 200
+ALIKE = 100  # clean words taken as landmarks beside them
+SHORTEST, LONGEST = 4, 12  # bytes of a landmark
 DECAY = 0.5
 EXTRA = 2  # bytes a stretch may be longer than the landmark
 CLOSE = 0.6  # a stretch further away counts as unrelated
+POWER = 4
 CACHED_WORDS = 200_000
 THRESHOLD = 0.7
 
@@ -112,14 +114,12 @@ class Landmarks:
         self._start()
 
     def _closest(self, pairs: list[tuple[bytes, int]]) -> np.ndarray:
-        """Kernel of each landmark and the closest stretch of the word."""
+        """Kernel of each landmark and the closest beginning of the word."""
         fresh = [p for p in set(pairs) if p not in self._values]
         left, right, owner = [], [], []
         for n, (text, mark) in enumerate(fresh):
             size = len(self.strings[mark])
-            stretches = {
-                text[i : i + size + e] for e in range(EXTRA + 1) for i in range(max(1, len(text) - size - e + 1))
-            }
+            stretches = {text[: size + e] for e in range(EXTRA + 1)}
             left += stretches
             right += [self.strings[mark]] * len(stretches)
             owner += [n] * len(stretches)
@@ -163,15 +163,16 @@ class Landmarks:
         spans = zip(start[word].tolist(), end[word].tolist(), mark.tolist())
         values = self._closest([(whole[a:b], m) for a, b, m in spans])
         close = values >= CLOSE
-        return word[close], mark[close], values[close]
+        return word[close], mark[close], values[close] ** POWER
 
-    def sentences(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Document and kernel row of each sentence with a word close to some landmark."""
+    def words_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+        """Documents and word numbers of all words close to a landmark, the words and their kernels."""
         data, bounds = joined(texts)
         data = lowered(data)
         start, end, doc = words(data, bounds, SPACE)
+        none = np.zeros(0, np.int64), np.zeros(0, np.int64), [], np.zeros((0, len(self.strings)))
         if not len(start):
-            return np.zeros(0, np.int64), np.zeros((0, len(self.strings)))
+            return none
         letters = np.flatnonzero(_LETTER[data])
         # Cut what is no letter from both ends of a word.
         first = np.searchsorted(letters, start)
@@ -181,19 +182,17 @@ class Landmarks:
         content = span_hash(byte_prefix(data), start, end)
         _, chosen, inverse = np.unique(content, return_index=True, return_inverse=True)
         word, mark, value = self.similar(data, start[chosen], end[chosen])
+        if not len(word):
+            return none
         row_of = np.full(len(chosen), -1)
         hit = np.unique(word)
         row_of[hit] = np.arange(len(hit))
         rows = np.zeros((len(hit), len(self.strings)))
         rows[row_of[word], mark] = value
         where = np.flatnonzero(row_of[inverse] >= 0)
-        if not len(where):
-            return np.zeros(0, np.int64), np.zeros((0, len(self.strings)))
-        ends = np.cumsum(_SENTENCE_END[data])
-        sentence = doc[where] * (int(ends[-1]) + 1) + ends[start[where]]
-        _, begin = np.unique(sentence, return_index=True)
-        kernel = np.maximum.reduceat(rows[row_of[inverse[where]]], begin, axis=0)
-        return doc[where][begin], kernel
+        whole = data.tobytes()
+        spans = zip(start[chosen[hit]].tolist(), end[chosen[hit]].tolist())
+        return doc[where], row_of[inverse[where]], [whole[a:b] for a, b in spans], rows
 
 
 def choose_landmarks(texts: list[str], labels: np.ndarray, limit: int = LANDMARKS) -> list[bytes]:
@@ -238,15 +237,15 @@ class Model:
     def scores(self, texts: pa.Array) -> np.ndarray:
         margin = np.full(len(texts), self.bias)
         if self.marks.strings:
-            doc, kernel = self.marks.sentences(texts)
-            np.maximum.at(margin, doc, kernel @ self.weights + self.bias)
+            doc, word, _, kernel = self.marks.words_of(texts)
+            np.maximum.at(margin, doc, (kernel @ self.weights + self.bias)[word])
         return 1.0 / (1.0 + np.exp(-np.clip(self.slope * margin + self.shift, -30, 30)))
 
 
 def _svm(rows: np.ndarray, signs: np.ndarray, cost: np.ndarray, rounds: int = 2000) -> tuple[np.ndarray, float]:
     """Linear machine with squared hinge loss, by accelerated gradient steps."""
     x = np.column_stack((rows, np.ones(len(rows))))
-    keep = np.ones(x.shape[1]) * 1e-3
+    keep = np.ones(x.shape[1]) * 1e-4
     keep[-1] = 0.0
     step = 1.0 / (2.0 * np.linalg.norm(x * np.sqrt(cost)[:, None], 2) ** 2 + keep.max())
     w = v = np.zeros(x.shape[1])
@@ -258,50 +257,71 @@ def _svm(rows: np.ndarray, signs: np.ndarray, cost: np.ndarray, rounds: int = 20
     return w[:-1], float(w[-1])
 
 
+def _instances(marks: Landmarks, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+    """:meth:`Landmarks.words_of` for all training texts, each word once."""
+    docs, numbers, rows, known = [], [], [], {}
+    base = 0
+    for piece in slices(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])])):
+        doc, word, names, kernel = marks.words_of(piece.column("text"))
+        own = []
+        for name, row in zip(names, kernel):
+            if name not in known:
+                known[name] = len(rows)
+                rows.append(row)
+            own.append(known[name])
+        docs.append(doc + base)
+        numbers.append(np.array(own, np.int64)[word])
+        base += piece.num_rows
+    kernel = np.array(rows).reshape(len(rows), len(marks.strings))
+    pairs = np.unique(np.stack((np.concatenate(docs), np.concatenate(numbers))), axis=1)
+    return pairs[0], pairs[1], list(known), kernel
+
+
 def fit(texts: list[str], labels: np.ndarray) -> Model:
-    """Train on labelled texts. A toxic text marks the sentence closest to the landmarks, a clean
-    one all of its sentences; without both classes every text scores the share of toxic ones."""
+    """Train on labelled texts; the words of a sentence are its instances.
+
+    Words of clean sentences are negative, words of toxic ones that equal a landmark positive.
+    Clean words that resemble an insult become landmarks as well, so that the machine can tell the
+    two apart. Without both classes every text scores the share of toxic ones.
+    """
     share = float(labels.mean()) if len(labels) else 0.0
     strings = choose_landmarks(texts, labels) if 0 < labels.sum() < len(labels) else []
-    marks = Landmarks(strings)
     if not strings:
         prior = min(max(share, 1e-6), 1 - 1e-6)
-        return Model(marks, np.zeros(0), 0.0, 1.0, float(np.log(prior / (1 - prior))))
-    column = pa.array(texts, pa.string())
-    docs, rows = [np.zeros(0, np.int64)], [np.zeros((0, len(strings)))]
-    base = 0
-    for piece in slices(iter([pa.RecordBatch.from_arrays([column], names=["text"])])):
-        doc, kernel = marks.sentences(piece.column("text"))
-        docs.append(doc + base)
-        rows.append(kernel)
-        base += piece.num_rows
-    doc, kernel = np.concatenate(docs), np.concatenate(rows)
+        return Model(Landmarks([]), np.zeros(0), 0.0, 1.0, float(np.log(prior / (1 - prior))))
+    insults = len(strings)
+    doc, word, names, kernel = _instances(Landmarks(strings), texts)
+    alike = Counter(word[labels[doc] == 0].tolist())
+    alike = {n: c for n, c in alike.items() if kernel[n].max() < 0.999 and len(names[n]) >= SHORTEST}
+    strings += [names[n][:LONGEST] for n in sorted(alike, key=lambda n: (-alike[n] * kernel[n].max(), names[n]))[:ALIKE]]
+    strings = list(dict.fromkeys(strings))
+    marks = Landmarks(strings)
+    doc, word, names, kernel = _instances(marks, texts)
     # Nystroem: features = kernel to the landmarks times the inverse root of theirs.
     n = len(strings)
     pairs = [(a, b) for a in strings for b in strings]
-    between = normalised_kernel([a for a, _ in pairs], [b for _, b in pairs]).reshape(n, n)
+    between = (normalised_kernel([a for a, _ in pairs], [b for _, b in pairs]) ** POWER).reshape(n, n)
     values, vectors = np.linalg.eigh((between + between.T) / 2)
-    root = vectors @ np.diag(1.0 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
-    near = kernel.max(axis=1) if len(kernel) else np.zeros(0)
-    top = np.full(len(texts), -1.0)
-    np.maximum.at(top, doc, near)
-    use = (labels[doc] == 0) | (near >= top[doc])
-    quiet = int((labels == 0).sum())  # clean sentences without any resemblance, one a text
-    x = np.concatenate((kernel[use] @ root, np.zeros((1, n))))
-    signs = np.append(np.where(labels[doc[use]] == 1, 1.0, -1.0), -1.0)
-    cost = np.where(signs > 0, 1.0 / max(1, int((signs > 0).sum())), 1.0 / (quiet + int((signs < 0).sum())))
-    cost[-1] = quiet / (quiet + int((signs < 0).sum()))
-    weights, bias = _svm(x, signs, cost)
+    root = vectors @ np.diag(1.0 / np.sqrt(np.maximum(values, 1e-2))) @ vectors.T
+    toxic = np.bincount(word[labels[doc] == 1], minlength=len(names))
+    clean = np.bincount(word[labels[doc] == 0], minlength=len(names))
+    exact = kernel[:, :insults].max(axis=1) >= 0.999
+    positive, negative = np.flatnonzero(exact & (toxic > 0)), np.flatnonzero(clean > 0)
+    x = np.concatenate((kernel[positive] @ root, kernel[negative] @ root, np.zeros((1, n))))
+    signs = np.repeat([1.0, -1.0], [len(positive), len(negative) + 1])
+    # The last row stands for all words that resemble no landmark.
+    cost = np.concatenate((toxic[positive], clean[negative], [int((labels == 0).sum())])).astype(np.float64)
+    weights, bias = _svm(x, signs, cost / cost.sum())
     weights = root @ weights
     margin = np.full(len(texts), bias)
-    np.maximum.at(margin, doc, kernel @ weights + bias)
+    np.maximum.at(margin, doc, (kernel @ weights + bias)[word])
     slope, shift = _probability(margin, labels)
     return Model(marks, weights, bias, slope, shift)
 
 
-def _probability(margin: np.ndarray, labels: np.ndarray, rounds: int = 500) -> tuple[float, float]:
-    """Logistic curve through the margins, both classes with equal weight."""
-    weight = np.where(labels == 1, 0.5 / max(1, labels.sum()), 0.5 / max(1, (1 - labels).sum()))
+def _probability(margin: np.ndarray, labels: np.ndarray, rounds: int = 2000) -> tuple[float, float]:
+    """Logistic curve through the margins, so that scores are shares of the labelled texts."""
+    weight = 1.0 / len(labels)
     slope, shift = 1.0, 0.0
     for _ in range(rounds):
         p = 1.0 / (1.0 + np.exp(-np.clip(slope * margin + shift, -30, 30)))
