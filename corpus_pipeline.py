@@ -7,11 +7,40 @@ from pyspark.sql import functions as F
 
 from tallygraph.llm.byte_pairs import encode, token_count
 from tallygraph.llm.decontaminate import contamination, find_passages
+from tallygraph.llm.line_dedup import dedup_lines
 from tallygraph.llm.simhash import near_components
+from tallygraph.llm.toxicity import THRESHOLD, score_toxicity, train
 from tallygraph.session import table
 from tallygraph.storage import materialize
 
 
+def _aside(docs: DataFrame, *used: str) -> DataFrame:
+    """Only the used columns beside all others in one, so that no name can clash."""
+    others = [c for c in docs.columns if c not in used]
+    kept = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.lit(0)
+    return docs.select(*used, kept.alias("_others"))
+
+
+def _restored(found: DataFrame, docs: DataFrame, *used: str) -> DataFrame:
+    return found.select(*[F.col(c) if c in used else F.col(f"_others.`{c}`").alias(c) for c in docs.columns])
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on the labelled ones among them, calls toxic go."""
+    model = train(docs, table(spark, sf_dir, "labels"))
+    scored = score_toxicity(_aside(docs, "text"), model)
+    return _restored(scored.where(F.col("score") < THRESHOLD), docs, "text")
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that repeat an earlier one up to one edit go; every document stays, some shorter."""
+    used = [c for c in ("doc_id", "text", "n_chars") if c in docs.columns]
+    cleaned = dedup_lines(_aside(docs, *used))
+    if "n_chars" in used:
+        cleaned = cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return _restored(cleaned, docs, *used)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays: the one with the smallest id.
 
@@ -24,8 +53,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which a benchmark covers at least a twentieth go; all others stay whole."""
-    found = contamination(find_passages(docs, table(spark, sf_dir, "benchmark")))
-    return found.where("NOT contaminated").select(*docs.columns)
+    found = contamination(find_passages(_aside(docs, "text"), table(spark, sf_dir, "benchmark")))
+    return _restored(found.where("NOT contaminated"), docs, "text")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,6 +63,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", toxicity),
+    ("line_dedup", lines),
     ("near_duplicates", near_duplicates),
     ("decontamination", decontamination),
     ("tokens", tokens),
