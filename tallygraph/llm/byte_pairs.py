@@ -24,7 +24,9 @@ from tallygraph.llm.text import slices
 from tallygraph.session import table
 
 VOCABULARY = "byte_bpe_50k.json"
-CACHED_WORDS = 150_000  # words a Python worker remembers; beyond that it starts anew
+CACHED_WORDS = 500_000  # words a Python worker remembers; beyond that it starts anew
+CACHED_PAIRS = 1_000_000
+SHORT_WORD = 64  # bytes up to which a word is merged in place
 
 # Fixed by the vocabulary format: how byte-level tokenizers cut a text into words.
 _WORDS = (
@@ -54,9 +56,11 @@ class Vocabulary:
         }
         pairs = (m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"])
         by_text = spec["model"]["vocab"]
-        self.merges = {
-            (by_text[a], by_text[b]): (rank, by_text[a + b]) for rank, (a, b) in enumerate(pairs)
-        }
+        self.rank: dict[tuple[int, int], int] = {}
+        self.made: list[int] = []  # the token each merge makes, by rank
+        for a, b in pairs:
+            self.rank[by_text[a], by_text[b]] = len(self.made)
+            self.made.append(by_text[a + b])
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.size = max([*self.ids.values(), *self.special.values()]) + 1
         self.tokens = [b""] * self.size
@@ -64,9 +68,9 @@ class Vocabulary:
             self.tokens[i] = token
         for token, i in self.special.items():
             self.tokens[i] = token.encode()
-        self.longest: dict[bytes, int] = {}
-        for token in self.ids:
-            self.longest[token[:2]] = max(self.longest.get(token[:2], 1), len(token))
+        # Every beginning of a token, and its id where it is a token itself.
+        self.begins = {token[:n]: -1 for token in self.ids for n in range(1, len(token))}
+        self.begins.update(self.ids)
         self._start()
 
     def _start(self) -> None:
@@ -89,48 +93,73 @@ class Vocabulary:
     def propose(self, word: bytes) -> list[int]:
         """The longest token that fits, from left to right."""
         out, at, size = [], 0, len(word)
-        ids, longest = self.ids, self.longest
+        begins = self.begins
         while at < size:
-            reach = longest.get(word[at : at + 2], 1)
-            for end in range(min(size, at + reach), at, -1):
-                token = ids.get(word[at:end])
-                if token is not None:
-                    out.append(token)
-                    at = end
+            token, end, next_ = -1, at + 1, at + 1
+            while True:
+                found = begins.get(word[at:end])
+                if found is None:
                     break
-            else:
+                if found >= 0:
+                    token, next_ = found, end
+                if end == size:
+                    break
+                end += 1
+            if token < 0:
                 raise ValueError("the vocabulary lacks a byte")
+            out.append(token)
+            at = next_
         return out
 
     def merge(self, word: bytes) -> list[int]:
         """Exact encoding: the merge of lowest rank first, the leftmost of equal ones."""
+        if len(word) > SHORT_WORD:
+            return self._merge_long(word)
+        token = [self.ids[word[i : i + 1]] for i in range(len(word))]
+        rank, none = self.rank, len(self.made)
+        ranks = [rank.get(pair, none) for pair in zip(token, token[1:])]
+        while ranks:
+            least = min(ranks)
+            if least == none:
+                break
+            i = ranks.index(least)
+            token[i : i + 2] = [self.made[least]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank.get((token[i - 1], token[i]), none)
+            if i < len(ranks):
+                ranks[i] = rank.get((token[i], token[i + 1]), none)
+        return token
+
+    def _merge_long(self, word: bytes) -> list[int]:
+        """The same with a queue, for words of any length."""
         token = [self.ids[word[i : i + 1]] for i in range(len(word))]
-        merges, size = self.merges, len(token)
+        rank, made, size = self.rank, self.made, len(token)
         after = list(range(1, size + 1))
         before = list(range(-1, size - 1))
         queue = []
         for i in range(size - 1):
-            found = merges.get((token[i], token[i + 1]))
-            if found:
-                queue.append((found[0], i, token[i], token[i + 1]))
+            found = rank.get((token[i], token[i + 1]))
+            if found is not None:
+                queue.append((found, i, token[i], token[i + 1]))
         heapq.heapify(queue)
         while queue:
-            _, i, left, right = heapq.heappop(queue)
+            least, i, left, right = heapq.heappop(queue)
             j = after[i]
             if token[i] != left or j >= size or token[j] != right:
                 continue
-            token[i] = merges[left, right][1]
+            token[i] = made[least]
             token[j] = -1
             after[i] = after[j]
             if after[j] < size:
                 before[after[j]] = i
-                found = merges.get((token[i], token[after[i]]))
-                if found:
-                    heapq.heappush(queue, (found[0], i, token[i], token[after[i]]))
+                found = rank.get((token[i], token[after[i]]))
+                if found is not None:
+                    heapq.heappush(queue, (found, i, token[i], token[after[i]]))
             if before[i] >= 0:
-                found = merges.get((token[before[i]], token[i]))
-                if found:
-                    heapq.heappush(queue, (found[0], before[i], token[before[i]], token[i]))
+                found = rank.get((token[before[i]], token[i]))
+                if found is not None:
+                    heapq.heappush(queue, (found, before[i], token[before[i]], token[i]))
         return [t for t in token if t >= 0]
 
     def _check(self, codes: np.ndarray) -> np.ndarray:
@@ -145,7 +174,7 @@ class Vocabulary:
                     holds[n] = self.merge(self.tokens[left]) == [left]
                 else:
                     holds[n] = self.merge(self.tokens[left] + self.tokens[right]) == [left, right]
-            if len(self._pairs) > 8 * CACHED_WORDS:
+            if len(self._pairs) > CACHED_PAIRS:
                 self._pairs, self._holds = np.zeros(0, np.int64), np.zeros(0, bool)
                 wanted_pairs, wanted_holds = fresh, holds
                 rest = wanted[~np.isin(wanted, fresh, assume_unique=True)]
