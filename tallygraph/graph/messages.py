@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallygraph.storage import checkpoint
+from tallygraph.storage import checkpoint, materialize
 
 
 def triplets(
@@ -33,8 +34,12 @@ def aggregate_messages(
     src: bool = True,
     dst: bool = True,
 ) -> DataFrame:
-    """Aggregate, per receiving vertex, expressions over the triplets that send a message."""
-    sent = triplets(vertices, edges, src, dst).where(send_when)
+    """Aggregate, per receiving vertex, expressions over the triplets that send a message.
+
+    The vertices are written first: an aggregate by id right below the join would keep the edges
+    of a hub in one task.
+    """
+    sent = triplets(materialize(vertices, "vertices"), edges, src, dst).where(send_when)
     return sent.groupBy(F.col(to).alias("id")).agg(*[e.alias(n) for n, e in merge.items()])
 
 
@@ -45,11 +50,13 @@ def pregel(
     merge: Mapping[str, Column],
     update: Mapping[str, Column],
     changed: Column,
-    max_rounds: int,
     send_when: Column | None = None,
     use_dst: bool = False,
-) -> tuple[DataFrame, bool]:
-    """Rounds of send, merge and update. Returns the vertices and whether they became stable.
+    max_rounds: int | None = None,
+) -> DataFrame:
+    """Rounds of send, merge and update until no vertex is active; returns the vertices.
+
+    With ``max_rounds`` an error is raised when that many rounds do not suffice.
 
     ``vertices`` carry their initial state and all of them are active in the first round.
     ``send`` builds message columns from edge columns and ``src_*`` (with ``use_dst`` also
@@ -61,7 +68,7 @@ def pregel(
     """
     columns = vertices.columns
     state = checkpoint(vertices.withColumn("_active", F.lit(True)))
-    for _ in range(max_rounds):
+    for done in itertools.count(1):
         active = state.where("_active").select(*columns)
         sent = triplets(active, edges, src=True, dst=False)
         if use_dst:
@@ -81,5 +88,6 @@ def pregel(
             )
         )
         if state.where("_active").isEmpty():
-            return state.drop("_active"), True
-    return state.drop("_active"), False
+            return state.drop("_active")
+        if done == max_rounds:
+            raise RuntimeError(f"vertices are still active after {max_rounds} rounds")

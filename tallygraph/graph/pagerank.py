@@ -90,18 +90,19 @@ def pagerank_until(
     edges: DataFrame,
     tolerance: float,
     vertices: DataFrame | None = None,
-    max_rounds: int = 500,
     rounds_per_plan: int = 5,
     edges_per_slot: int = EDGES_PER_SLOT,
-) -> tuple[DataFrame, bool]:
-    """Ranks once no rank moves by more than the tolerance, and whether that was reached.
+) -> DataFrame:
+    """Ranks once no rank moves by more than the tolerance.
 
-    The largest move is looked at every ``rounds_per_plan`` rounds.
+    A round shrinks the moves by the damping factor, so this ends for any tolerance above rounding
+    errors. The largest move is looked at every ``rounds_per_plan`` rounds.
     """
+    if tolerance <= 0:
+        raise ValueError("the tolerance must be positive")
     weighted, ids, base = _start(edges, vertices, edges_per_slot)
     ranks = ids.withColumn("rank", F.lit(1.0))
-    done = False
-    for _ in range(0, max_rounds, rounds_per_plan):
+    while True:
         for _ in range(rounds_per_plan - 1):
             ranks = _round(ranks, weighted, base)
         before = checkpoint(ranks)
@@ -112,6 +113,4 @@ def pagerank_until(
             .first()["move"]
         )
         if move is None or move <= tolerance:
-            done = True
-            break
-    return _scaled(ranks), done
+            return _scaled(ranks)

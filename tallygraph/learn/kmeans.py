@@ -51,21 +51,26 @@ def lloyd(
     vector: str,
     centres: Sequence[Sequence[float]],
     converge: float = 0.0,
-    max_rounds: int = 100,
-) -> tuple[Centres, bool]:
+) -> Centres:
     """Move the centres until the sum of their squared moves is at most ``converge``.
 
-    Returns the centres and whether they settled. Persist or write ``points`` before if they are
-    the result of a longer plan: they are read once per round.
+    Write ``points`` before if they are the result of a longer plan: they are read once per round.
     """
     current = [[float(x) for x in c] for c in centres]
-    for _ in range(max_rounds):
+    while True:
         moved = _new_centres(points, vector, current)
         shift = sum((a - b) ** 2 for c, m in zip(current, moved) for a, b in zip(c, m))
         current = moved
         if shift <= converge:
-            return current, True
-    return current, False
+            return current
+
+
+def lloyd_rounds(points: DataFrame, vector: str, centres: Sequence[Sequence[float]], rounds: int) -> Centres:
+    """The centres after a fixed number of rounds, settled or not."""
+    current = [[float(x) for x in c] for c in centres]
+    for _ in range(rounds):
+        current = _new_centres(points, vector, current)
+    return current
 
 
 def assign(points: DataFrame, vector: str, centres: Centres, id_column: str) -> DataFrame:

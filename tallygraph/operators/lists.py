@@ -1,72 +1,17 @@
-"""Grouping into lists when one key may own an unbounded share of the rows."""
+"""Items of each key in long form, the same shape for a key of any size."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallygraph.storage import materialize
 
+def grouped_items(df: DataFrame, keys: list[str], item: str, times: str | None = None) -> DataFrame:
+    """One row ``(keys, item, times)`` per key and item, with how often the key has the item.
 
-def grouped_lists(
-    df: DataFrame,
-    keys: list[str],
-    item: str,
-    times: str | None = None,
-    max_items: int = 100_000,
-    alias: str = "items",
-) -> DataFrame:
-    """Sorted list of the items of each key, as rows ``(keys, part, items)``.
-
-    A key with at most ``max_items`` items gives one row with ``part = 0``. A larger key is spread
-    by item over as many parts as it needs, so that no task holds a whole hot group; together the
-    parts hold every item. ``times`` names a column with the multiplicity of a row.
-
-    Equal items are counted before anything is shuffled by key.
+    ``times`` names a column with the multiplicity of a row. A key may own any share of the rows:
+    equal items are added up before they are shuffled, and rows are dealt out by key and item.
     """
     weight = F.col(times) if times else F.lit(1)
-    counted = df.groupBy(*keys, item).agg(F.sum(weight).cast("bigint").alias("_n"))
-    counted = materialize(counted.where("_n > 0"), "counted-items")
-    needed = F.ceil(F.sum("_n") / max_items).cast("bigint")
-    hot = counted.groupBy(*keys).agg(needed.alias("_parts")).where("_parts > 1")
-    hot = materialize(hot, "hot-keys")
-    if hot.isEmpty():
-        return counted.groupBy(*keys).agg(F.lit(0).alias("part"), _copies(item).alias(alias))
-
-    # One row per run of at most max_items copies of an item.
-    run = F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / max_items).cast("int")))
-    runs = counted.select(*keys, item, "_n", run.alias("_run")).withColumn(
-        "_n", F.least(F.lit(max_items).cast("bigint"), F.col("_n") - F.col("_run") * max_items)
-    )
-    part = F.when(F.col("_parts").isNull(), 0).otherwise(
-        F.pmod(F.xxhash64(item, "_run"), F.col("_parts"))
-    )
-    spread = runs.join(hot, keys, "left").withColumn("part", part.cast("int"))
-    # Named explicitly: partitioning by key alone would also satisfy the grouping below, and
-    # would bring a hot key back into one task.
-    spread = spread.repartition(*keys, "part")
-    return spread.groupBy(*keys, "part").agg(_copies(item).alias(alias))
-
-
-def _copies(item: str) -> Column:
-    """Sorted list of a group's items, each as often as its ``_n`` says."""
-    return F.flatten(
-        F.transform(
-            F.sort_array(F.collect_list(F.struct(item, "_n"))),
-            lambda e: F.array_repeat(e[item], e["_n"].cast("int")),
-        )
-    )
-
-
-def joined_lists(
-    df: DataFrame,
-    keys: list[str],
-    item: str,
-    times: str | None = None,
-    max_items: int = 100_000,
-    sep: str = ",",
-    alias: str = "items",
-) -> DataFrame:
-    """:func:`grouped_lists` with each list joined to one string."""
-    lists = grouped_lists(df, keys, item, times, max_items, alias)
-    return lists.withColumn(alias, F.array_join(F.col(alias).cast("array<string>"), sep))
+    counted = df.groupBy(*keys, item).agg(F.sum(weight).cast("bigint").alias("times"))
+    return counted.where("times > 0")

@@ -40,24 +40,10 @@ def restrict_to(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return df.join(keys.select(key), key, "left_semi")
 
 
-def broadcast_if_at_most(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast hint once a bounded count has shown that the side is small enough.
-
-    The count stops after ``rows + 1`` rows. A larger side is returned without a hint and the
-    planner joins it by shuffle.
-    """
-    small = df.limit(rows + 1).count() <= rows
-    return F.broadcast(df) if small else df
-
-
-def right_join_lookup(
-    rows: DataFrame, lookup: DataFrame, condition: Column, lookup_rows: int = 100_000
-) -> DataFrame:
-    """``rows RIGHT JOIN lookup``; the left side is broadcast when it is measured to be small.
-
-    Only the side that is not preserved can be broadcast in an outer join.
-    """
-    return broadcast_if_at_most(rows, lookup_rows).join(lookup, condition, "right")
+def right_join_lookup(rows: DataFrame, lookup: DataFrame, condition: Column) -> DataFrame:
+    """``rows RIGHT JOIN lookup``. Adaptive execution broadcasts ``rows``, the side that is not
+    preserved, once it has measured them to be below the broadcast threshold."""
+    return rows.join(lookup, condition, "right")
 
 
 def left_join_default(

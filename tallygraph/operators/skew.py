@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallygraph.storage import checkpoint
+from tallygraph.storage import checkpoint, materialize
 
 
 def salted_aggregate(
@@ -31,23 +31,24 @@ def salted_join(
     left: DataFrame,
     right: DataFrame,
     key: str,
-    hot_rows: int,
+    hot_rows: int | None = None,
     salts: int = 32,
     how: str = "inner",
 ) -> DataFrame:
     """Equi-join in which the left rows of every hot key are spread over ``salts`` tasks.
 
-    A key is hot when the left side has more than ``hot_rows`` rows of it. The right rows of hot
-    keys, and only those, are repeated once per salt. ``how`` is inner or left.
+    A key is hot when the left side has more than ``hot_rows`` rows of it; by default more than
+    an even share of all rows for every shuffle partition. The right rows of hot keys, and only
+    those, are repeated once per salt. ``how`` is inner or left.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join keeps the left side: how must be inner or left")
-    hot = (
-        left.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > hot_rows)
-        .select(key, F.lit(salts).alias("_salts"))
-    )
+    sizes = left.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    if hot_rows is None:
+        sizes = materialize(sizes, "key-sizes")
+        total = sizes.agg(F.sum("_rows")).first()[0] or 0
+        hot_rows = total // int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = sizes.where(F.col("_rows") > hot_rows).select(key, F.lit(salts).alias("_salts"))
     row_salt = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.col("_salts"))
     spread = left.join(hot, key, "left").withColumn("_salt", F.coalesce(row_salt, F.lit(0)))
     repeated = (

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallygraph.functions.scalar import GOOD_FLAG
 from tallygraph.graph.labels import label_propagation
-from tallygraph.operators.lists import joined_lists
+from tallygraph.operators.lists import grouped_items
 from tallygraph.operators.relational import (
     clean_relations,
     co_member_pairs,
@@ -15,6 +15,7 @@ from tallygraph.operators.relational import (
     restrict_to,
     shared_members,
 )
+from tallygraph.operators.skew import per_key_join
 from tallygraph.storage import materialize
 
 
@@ -38,10 +39,10 @@ def property_members(
     return shared_members(named, ["node_id", "value"], "user_id", more_than, at_most, count_rows)
 
 
-def user_edges(members: DataFrame, max_items: int = 100_000) -> DataFrame:
-    """User graph: one edge per pair of users, with the list of values they share."""
+def user_edges(members: DataFrame) -> DataFrame:
+    """User graph as ``(src, dst, value, times)``: a row per pair of users and value they share."""
     pairs = co_member_pairs(members, ["node_id", "value"], "user_id")
-    return joined_lists(pairs, ["src", "dst"], "value", max_items=max_items, alias="values")
+    return grouped_items(pairs, ["src", "dst"], "value")
 
 
 def group_values(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -53,9 +54,8 @@ def group_values(members: DataFrame, labels: DataFrame) -> DataFrame:
     labelled = members.join(
         labels.select(F.col("id").alias("user_id"), F.col("label").alias("group_id")), "user_id"
     )
-    return labelled.groupBy("group_id", "value").agg(
-        F.sum(F.col("members") - 1).cast("bigint").alias("times")
-    )
+    carried = labelled.withColumn("_times", F.col("members") - 1)
+    return grouped_items(carried, ["group_id"], "value", "_times")
 
 
 def detect_groups(
@@ -65,12 +65,11 @@ def detect_groups(
     more_than: int = 2,
     at_most: int = 100,
     rounds: int = 5,
-    max_items: int = 100_000,
     count_rows: bool = False,
 ) -> DataFrame:
     """Good and bad rate, size and shared values of every user group of a relation.
 
-    A group whose value list is longer than ``max_items`` continues in rows with ``part`` 1, 2, ...
+    One row per group and value; ``times`` says how often the edges of the group carry the value.
     """
     members = materialize(
         property_members(relations, classify, relation, more_than, at_most, count_rows), "members"
@@ -82,11 +81,8 @@ def detect_groups(
     flags = flags.replace(GOOD_FLAG, subset=["flag"])
     grouped = labels.select(F.col("id").alias("user_id"), F.col("label").alias("group_id"))
     rates = group_rates(grouped.join(flags, "user_id"), ["group_id"], "flag")
-    values = joined_lists(
-        group_values(members, labels), ["group_id"], "value", "times", max_items, alias="values"
-    )
-    return rates.join(values, "group_id").select(
-        "group_id", "good_rate", "bad_rate", "total", "values", "part", F.lit(relation).alias("rel")
+    return per_key_join(group_values(members, labels), rates, ["group_id"]).select(
+        "group_id", "good_rate", "bad_rate", "total", "value", "times", F.lit(relation).alias("rel")
     )
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallygraph.functions.scalar import epoch_millis, property_digest
-from tallygraph.operators.lists import joined_lists
 from tallygraph.operators.skew import per_key_join
 from tallygraph.storage import materialize
 
@@ -108,11 +107,9 @@ def group_relation(
     )
 
 
-def user_group(groups: DataFrame, create_date: str, max_items: int = 100_000) -> DataFrame:
-    """Groups of each user, and how many of them are at risk.
-
-    A user in more than ``max_items`` groups has rows with ``part`` 1, 2, ... for the rest.
-    """
+def user_group(groups: DataFrame, create_date: str) -> DataFrame:
+    """One row per user and group of theirs, with how many groups they are in and how many of
+    those are at risk."""
     membership = groups.select(
         F.explode(F.split("match_user", ",")).alias("user_id"), "group_id", "group_level"
     )
@@ -120,13 +117,9 @@ def user_group(groups: DataFrame, create_date: str, max_items: int = 100_000) ->
         F.count_if(F.col("group_level") != "0").alias("bad_group_cnt"),
         F.count(F.lit(1)).alias("group_cnt"),
     )
-    lists = joined_lists(
-        membership, ["user_id"], "group_id", max_items=max_items, alias="match_group_id"
-    )
-    return lists.join(counts, "user_id").select(
+    return per_key_join(membership, counts, ["user_id"]).select(
         "user_id",
-        "match_group_id",
-        "part",
+        F.col("group_id").alias("match_group_id"),
         "bad_group_cnt",
         "group_cnt",
         F.lit(create_date).alias("create_time"),

@@ -63,6 +63,39 @@ shipment_relations AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 
+def quarter_relations(spark: SparkSession, folder: str) -> DataFrame:
+    """Customer - property rows from all line items: value = supplier and quarter of shipping.
+
+    A value has about as many users at every scale, so limits on its size keep their meaning.
+    Times are in milliseconds.
+    """
+    lines = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_suppkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("day")
+    )
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    year, quarter = F.year("day"), F.quarter("day")
+    return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).select(
+        F.col("o_custkey").alias("user_id"),
+        F.concat(F.col("l_suppkey"), F.lit("@"), year, F.lit("Q"), quarter).alias("val"),
+        (F.unix_date("day") * F.lit(86_400_000).cast("bigint")).alias("addtime"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("edge_id"),
+        (F.col("l_suppkey") * 1000 + (year - 1990) * 4 + quarter).alias("node_id"),
+        F.lit("quarter").alias("sub_rel"),
+        F.lit("shipment").alias("rel"),
+    )
+
+
+QUARTER_RELATIONS_SQL = """
+quarter_relations AS (
+  SELECT o_custkey AS user_id,
+         l_suppkey || '@' || year(l_shipdate) || 'Q' || quarter(l_shipdate) AS val,
+         CAST(epoch_ms(l_shipdate) AS BIGINT) AS addtime,
+         l_orderkey * 10 + l_linenumber AS edge_id,
+         l_suppkey * 1000 + (year(l_shipdate) - 1990) * 4 + quarter(l_shipdate) AS node_id,
+         'quarter' AS sub_rel, 'shipment' AS rel
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+
 def user_classify(spark: SparkSession, folder: str) -> DataFrame:
     """Classification flags of every customer, written as the stored table such flags would be."""
     last = (

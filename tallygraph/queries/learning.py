@@ -49,7 +49,7 @@ def _unrolled_kmeans_sql() -> str:
 def kmeans_fixed_rounds(spark, folder):
     points = table(spark, folder, "embeddings")
     start = [row[0] for row in points.where(F.col("vec_id") < K).orderBy("vec_id").select("embedding").collect()]
-    centres, _ = kmeans.lloyd(points, "embedding", start, converge=-1.0, max_rounds=ROUNDS)
+    centres = kmeans.lloyd_rounds(points, "embedding", start, ROUNDS)
     rows = spark.createDataFrame(list(enumerate(centres)), "cluster INT, c ARRAY<DOUBLE>")
     cells = rows.select("cluster", F.posexplode("c").alias("pos", "value"))
     return cells.withColumn("value", fixed_point(F.col("value"), 6))

@@ -20,6 +20,7 @@ def query(sql: str | None = None, name: str | None = None):
         @wraps(run)
         def in_utc(spark: SparkSession, folder: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
             return run(spark, folder)
 
         key = name or run.__name__

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallygraph.functions import aggregates, scalar
 from tallygraph.operators import relational as ops
-from tallygraph.operators.lists import joined_lists
+from tallygraph.operators.lists import grouped_items
 from tallygraph.operators.skew import salted_aggregate, salted_join
 from tallygraph.queries.inputs import EVENT_RELATIONS_SQL, USER_CLASSIFY_SQL, event_relations, user_classify
 from tallygraph.queries.registry import query
@@ -250,11 +250,10 @@ def distinct_group_count(spark, folder):
 
 
 @query(
-    "SELECT o_custkey, 0 AS part, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS orders "
-    "FROM orders GROUP BY o_custkey"
+    "SELECT o_custkey, o_orderkey, count(*) AS times FROM orders GROUP BY o_custkey, o_orderkey"
 )
 def grouped_order_lists(spark, folder):
-    return joined_lists(table(spark, folder, "orders"), ["o_custkey"], "o_orderkey", alias="orders")
+    return grouped_items(table(spark, folder, "orders"), ["o_custkey"], "o_orderkey")
 
 
 @query(
@@ -285,7 +284,7 @@ def salted_lookup_join(spark, folder):
         F.col("l_suppkey").alias("s_suppkey"), "l_orderkey", "l_linenumber"
     )
     suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_name")
-    joined = salted_join(lines, suppliers, "s_suppkey", hot_rows=600)
+    joined = salted_join(lines, suppliers, "s_suppkey")
     return joined.select("l_orderkey", "l_linenumber", "s_name")
 
 

@@ -11,10 +11,10 @@ from tallygraph.operators.relational import clean_relations_since, co_member_pai
 from tallygraph.plans import group_detection as groups
 from tallygraph.plans import single_property
 from tallygraph.queries.inputs import (
-    EVENT_RELATIONS_SQL,
+    QUARTER_RELATIONS_SQL,
     SHIPMENT_RELATIONS_SQL,
     USER_CLASSIFY_SQL,
-    event_relations,
+    quarter_relations,
     shipment_relations,
     user_classify,
 )
@@ -53,8 +53,7 @@ def _members(spark, folder):
 
 
 @query(
-    f"WITH {MEMBERS_SQL} SELECT src, dst, 0 AS part, string_agg(value, ',' ORDER BY value) AS values "
-    "FROM pairs GROUP BY src, dst"
+    f"WITH {MEMBERS_SQL} SELECT src, dst, value, count(*) AS times FROM pairs GROUP BY src, dst, value"
 )
 def shared_property_pairs(spark, folder):
     return groups.user_edges(_members(spark, folder))
@@ -62,35 +61,33 @@ def shared_property_pairs(spark, folder):
 
 @query(
     f"""
-    WITH {EVENT_RELATIONS_SQL},
-    links AS (SELECT DISTINCT user_id, node_id FROM event_relations)
+    WITH {QUARTER_RELATIONS_SQL},
+    links AS (SELECT DISTINCT user_id, node_id FROM quarter_relations)
     SELECT node_id AS id, count(*) AS neighbours, string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY user_id) AS ids
-    FROM links GROUP BY node_id HAVING count(*) > 2 AND count(*) <= 100
+    FROM links GROUP BY node_id HAVING count(*) > 20 AND count(*) <= 100
     """
 )
 def in_neighbors_filtered(spark, folder):
-    edges = event_relations(spark, folder).select(F.col("user_id").alias("src"), F.col("node_id").alias("dst"))
-    found = in_neighbours(edges, more_than=2, at_most=100)
+    edges = quarter_relations(spark, folder).select(F.col("user_id").alias("src"), F.col("node_id").alias("dst"))
+    found = in_neighbours(edges, more_than=20, at_most=100)
     return found.withColumn("ids", F.array_join(F.col("ids").cast("array<string>"), ","))
 
 
 GROUP_DETECTION_SQL = f"""
 WITH {MEMBERS_SQL},
-user_edges AS MATERIALIZED (
-  SELECT src, dst, string_agg(value, ',' ORDER BY value) AS vals FROM pairs GROUP BY src, dst),
+user_edges AS MATERIALIZED (SELECT DISTINCT src, dst FROM pairs),
 links AS MATERIALIZED (SELECT src AS id, dst AS neighbour FROM user_edges UNION ALL SELECT dst, src FROM user_edges),
 {label_rounds_sql('links', 5)},
 carried AS (
-  SELECT l.label AS group_id, unnest(string_split(e.vals, ',')) AS value
-  FROM user_edges e JOIN label5 l ON l.id = e.src OR l.id = e.dst),
-group_values AS (
-  SELECT group_id, string_agg(value, ',' ORDER BY value) AS values FROM carried GROUP BY group_id),
+  SELECT l.label AS group_id, value FROM pairs JOIN label5 l ON l.id = pairs.src
+  UNION ALL SELECT l.label, value FROM pairs JOIN label5 l ON l.id = pairs.dst),
+group_values AS (SELECT group_id, value, count(*) AS times FROM carried GROUP BY group_id, value),
 sums AS (
   SELECT label AS group_id, sum(CASE WHEN flag = 3 THEN 1 ELSE 0 END) AS good, count(flag) AS total
   FROM label5 JOIN user_classify ON id = user_id WHERE flag IS NOT NULL GROUP BY label)
 SELECT group_id, floor((good * 200 + total) / (total * 2)) / 100 AS good_rate,
        floor(((total - good) * 200 + total) / (total * 2)) / 100 AS bad_rate,
-       total, values, 0 AS part, 'shipment' AS rel
+       total, value, times, 'shipment' AS rel
 FROM sums JOIN group_values USING (group_id)"""
 
 
@@ -100,12 +97,12 @@ def group_detection(spark, folder):
 
 
 SOURCE_SQL = f"""
-{EVENT_RELATIONS_SQL}, {USER_CLASSIFY_SQL},
+{QUARTER_RELATIONS_SQL}, {USER_CLASSIFY_SQL},
 source AS MATERIALIZED (
-  SELECT * FROM event_relations WHERE rel NOT IN ('ip', 'lbs') AND addtime >= epoch(TIMESTAMP '2017-01-01 00:00:00')),
+  SELECT * FROM quarter_relations WHERE rel NOT IN ('ip', 'lbs') AND addtime >= epoch_ms(TIMESTAMP '1996-01-01 00:00:00')),
 sizes AS MATERIALIZED (
   SELECT node_id, count(DISTINCT user_id) AS match_count FROM source GROUP BY node_id
-  HAVING count(DISTINCT user_id) >= 2 AND count(DISTINCT user_id) < 5000)"""
+  HAVING count(DISTINCT user_id) >= 20 AND count(DISTINCT user_id) < 5000)"""
 
 GROUP_RELATION_SQL = f"""
 {SOURCE_SQL},
@@ -135,7 +132,7 @@ group_relation AS MATERIALIZED (
 
 
 def _source(spark, folder):
-    return clean_relations_since(event_relations(spark, folder))
+    return clean_relations_since(quarter_relations(spark, folder), "1996-01-01")
 
 
 @query(
@@ -143,33 +140,33 @@ def _source(spark, folder):
     WITH {SOURCE_SQL}
     SELECT rel AS match_type, sub_rel AS match_subtype, val AS match_value,
            CAST(user_id AS VARCHAR) AS match_user,
-           strftime(to_timestamp(addtime) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS add_time,
+           strftime(to_timestamp(addtime / 1000) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS add_time,
            '{AS_OF}' AS create_time
     FROM source JOIN sizes USING (node_id)
     """
 )
 def all_relation(spark, folder):
-    return single_property.all_relation(_source(spark, folder), AS_OF)
+    return single_property.all_relation(_source(spark, folder), AS_OF, at_least=20)
 
 
 @query(f"WITH {GROUP_RELATION_SQL} SELECT * FROM group_relation")
 def group_relation(spark, folder):
-    return single_property.group_relation(_source(spark, folder), user_classify(spark, folder), AS_OF, at_least=2)
+    return single_property.group_relation(_source(spark, folder), user_classify(spark, folder), AS_OF)
 
 
 @query(
     f"""
     WITH {GROUP_RELATION_SQL},
     members AS (SELECT unnest(string_split(match_user, ',')) AS user_id, group_id, group_level FROM group_relation)
-    SELECT user_id, string_agg(group_id, ',' ORDER BY group_id) AS match_group_id, 0 AS part,
-           count(*) FILTER (WHERE group_level <> '0') AS bad_group_cnt, count(*) AS group_cnt,
+    SELECT user_id, group_id AS match_group_id,
+           count(*) FILTER (WHERE group_level <> '0') OVER own AS bad_group_cnt, count(*) OVER own AS group_cnt,
            '{AS_OF}' AS create_time
-    FROM members GROUP BY user_id
+    FROM members WINDOW own AS (PARTITION BY user_id)
     """
 )
 def user_group(spark, folder):
     found = single_property.group_relation(
-        _source(spark, folder), user_classify(spark, folder), AS_OF, at_least=2
+        _source(spark, folder), user_classify(spark, folder), AS_OF
     )
     return single_property.user_group(materialize(found, "group-relation"), AS_OF)
 

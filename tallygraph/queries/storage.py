@@ -40,18 +40,20 @@ def partitioned_roundtrip(spark, folder):
 
 @query("SELECT o_orderpriority, count(*) AS orders FROM orders GROUP BY o_orderpriority")
 def csv_roundtrip(spark, folder):
-    """Header and ``;`` as separator, types inferred on reading."""
+    """Header and ``;`` as separator, the schema given on reading."""
     path = scratch_path(spark, "csv")
-    table(spark, folder, "orders").write.options(sep=";", header=True).csv(path)
-    orders = files.read_csv(spark, path, sep=";")
+    rows = table(spark, folder, "orders")
+    rows.write.options(sep=";", header=True).csv(path)
+    orders = files.read_csv(spark, path, sep=";", schema=rows.schema)
     return orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("orders"))
 
 
 @query("SELECT c_custkey, c_name FROM customer WHERE c_acctbal BETWEEN 1000 AND 2000")
 def json_roundtrip(spark, folder):
     path = scratch_path(spark, "json")
-    table(spark, folder, "customer").write.json(path)
-    customer = files.read_json(spark, path)
+    rows = table(spark, folder, "customer")
+    rows.write.json(path)
+    customer = files.read_json(spark, path, rows.schema)
     return customer.where(F.col("c_acctbal").between(1000, 2000)).select("c_custkey", "c_name")
 
 
@@ -107,14 +109,15 @@ def source_files(spark, folder):
 def bucketed_join(spark, folder):
     """Join of two tables bucketed and sorted by the join key."""
     suffix = uuid.uuid4().hex
+    order_rows = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    line_rows = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
+    buckets = writers.bucket_count(order_rows, line_rows)
     orders, lines = f"orders_{suffix}", f"lines_{suffix}"
     writers.save_table(
-        table(spark, folder, "orders").select("o_orderkey", "o_custkey"),
-        orders, bucket_by="o_orderkey", buckets=8, sort_by="o_orderkey", path=scratch_path(spark, orders),
+        order_rows, orders, bucket_by="o_orderkey", buckets=buckets, sort_by="o_orderkey", path=scratch_path(spark, orders),
     )
     writers.save_table(
-        table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber"),
-        lines, bucket_by="l_orderkey", buckets=8, sort_by="l_orderkey", path=scratch_path(spark, lines),
+        line_rows, lines, bucket_by="l_orderkey", buckets=buckets, sort_by="l_orderkey", path=scratch_path(spark, lines),
     )
     joined = spark.table(orders).join(spark.table(lines), F.col("o_orderkey") == F.col("l_orderkey"))
     return joined.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("lines"))

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def read_parquet(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
@@ -18,7 +19,7 @@ def read_default(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.load(path)
 
 
-def read_json(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+def read_json(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame:
     """JSON lines. Without a schema the files are read once more to infer one."""
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.json(path)
@@ -39,7 +40,7 @@ def read_csv(
     path: str,
     sep: str = ",",
     header: bool = True,
-    schema: str | None = None,
+    schema: str | StructType | None = None,
     multi_line: bool = False,
 ) -> DataFrame:
     """Delimited files with a header. Without a schema the types are inferred."""

@@ -38,6 +38,12 @@ def write_lines(df: DataFrame, path: str, mode: str = "error", single_file: bool
     (df.repartition(1) if single_file else df).write.mode(mode).text(path)
 
 
+def bucket_count(*frames: DataFrame, bytes_each: int = 256 << 20) -> int:
+    """Buckets that hold about ``bytes_each`` of the largest frame, by the planner's size estimate."""
+    sizes = [int(str(f._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for f in frames]
+    return max(1, *(-(-size // bytes_each) for size in sizes))
+
+
 def save_table(
     df: DataFrame,
     name: str,

@@ -26,9 +26,14 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def _own_dir(spark: SparkSession) -> str:
+    """The part of the shared folder that belongs to this application alone."""
+    return f"{shared_dir(spark)}/tallygraph/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/tallygraph/{label}-{uuid.uuid4().hex}"
+    """A fresh path below this application's part of the shared folder."""
+    return f"{_own_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
@@ -53,7 +58,7 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Delete the working folders written through :func:`scratch_path`."""
+    """Delete what this application wrote through :func:`scratch_path`, and nothing else."""
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tallygraph")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
     path.getFileSystem(hadoop).delete(path, True)

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallygraph.functions.scalar import words
-from tallygraph.operators.relational import broadcast_if_at_most
 from tallygraph.streaming.runner import run_batches
 
 
@@ -69,7 +68,7 @@ def stateful_count(df: DataFrame, key: str, initial: DataFrame) -> DataFrame:
 def split_by_list(df: DataFrame, key: str, listed: DataFrame) -> DataFrame:
     """Mark rows whose key is listed: column ``listed``. The list is joined to every batch.
 
-    A list measured to be short is broadcast, so that a frequent key stays spread over the tasks.
+    A short list is broadcast by the planner; a long one is joined by shuffle.
     """
-    marked = broadcast_if_at_most(listed.select(key).distinct(), 100_000).withColumn("_hit", F.lit(True))
+    marked = listed.select(key).distinct().withColumn("_hit", F.lit(True))
     return df.join(marked, key, "left").select(*df.columns, F.coalesce("_hit", F.lit(False)).alias("listed"))

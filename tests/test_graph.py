@@ -71,20 +71,20 @@ def test_components_without_edges(spark, vertices, rows):
 
 
 def test_shortest_paths(edges, vertices, rows):
-    found, done = paths.shortest_paths(vertices, edges, 1, F.lit(2))
+    found = paths.shortest_paths(vertices, edges, 1, F.lit(2))
     inf = float("inf")
-    assert done
     assert dict(rows(found)) == {1: 0, 2: 2, 3: 4, 4: 6, 5: 8, 6: 10, 7: inf, 8: inf}
 
 
 def test_closure(edges, rows):
-    found, done = paths.transitive_closure(edges)
     left, right = (1, 2, 3), (4, 5, 6)
     want = set(itertools.product(left, left + right)) | set(itertools.product(right, right)) | {(7, 7)}
-    assert done
+    everyone = edges.select(F.explode(F.array("src", "dst")).alias("id"))
+    found = paths.transitive_closure(edges, everyone)
     assert rows(found) == sorted(want)
-    again, _ = paths.transitive_closure(found)
-    assert rows(again) == sorted(want)
+    assert rows(paths.transitive_closure(found, everyone)) == sorted(want)
+    from_three = everyone.where("id IN (3, 99)")
+    assert rows(paths.transitive_closure(edges, from_three)) == sorted(p for p in want if p[0] == 3)
 
 
 def _pagerank(edge_list, ids, rounds, keep_all):
@@ -118,9 +118,8 @@ def test_pages_without_links_drop_out(spark):
 
 
 def test_pagerank_to_tolerance(edges, vertices):
-    found, done = pagerank.pagerank_until(edges, 1e-8, vertices)
+    found = pagerank.pagerank_until(edges, 1e-8, vertices)
     want = _pagerank(EDGES, range(1, 9), 300, True)
-    assert done
     assert {r["id"]: r["rank"] for r in found.collect()} == pytest.approx(want, abs=1e-5)
 
 
@@ -164,14 +163,23 @@ def test_pregel_with_both_ends(spark, rows):
     """Largest value spreads, only to vertices that have a smaller one."""
     vertices = spark.createDataFrame([(1, 9), (2, 1), (3, 4)], "id BIGINT, v INT")
     edges = spark.createDataFrame([(1, 2), (2, 3)], "src BIGINT, dst BIGINT")
-    got, done = messages.pregel(
+    got = messages.pregel(
         vertices, edges, {"m": F.col("src_v")}, {"m": F.max("m")}, {"v": F.greatest("v", "m")},
-        F.col("m") > F.col("v"), 10, send_when=F.col("src_v") > F.col("dst_v"), use_dst=True,
+        F.col("m") > F.col("v"), send_when=F.col("src_v") > F.col("dst_v"), use_dst=True,
     )
-    assert done
     assert rows(got) == [(1, 9), (2, 9), (3, 9)]
 
 
+def test_pregel_never_returns_an_unfinished_result(spark):
+    vertices = spark.range(6).selectExpr("id", "IF(id = 0, 1, 0) AS v")
+    edges = spark.range(5).selectExpr("id AS src", "id + 1 AS dst")
+    spread = dict(send={"m": F.col("src_v")}, merge={"m": F.max("m")}, update={"v": F.greatest("v", "m")})
+    with pytest.raises(RuntimeError, match="active"):
+        messages.pregel(vertices, edges, **spread, changed=F.col("m") > F.col("v"), max_rounds=2)
+    found = messages.pregel(vertices, edges, **spread, changed=F.col("m") > F.col("v"), max_rounds=7)
+    assert found.where("v = 1").count() == 6
+
+
 def test_subgraph_and_attributes(edges, vertices, rows):
     named = model.with_attributes(vertices, vertices.where("id < 4").withColumn("name", F.lit("n")), {"name": ""})
     kept, inner = model.subgraph(named, edges, F.col("name") != "")
@@ -179,6 +187,40 @@ def test_subgraph_and_attributes(edges, vertices, rows):
     assert rows(inner) == [(1, 2), (1, 2), (2, 3), (3, 1)]
 
 
+def _split(df):
+    """Run a frame and tell whether a join of its final plan was split for skew."""
+    df.collect()
+    return "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def low_limits(spark):
+    """Skew limits that small tables reach, several map tasks and no broadcasts."""
+    low = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in low}
+    for key, value in low.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_edges_of_a_hub_are_split(spark, low_limits):
+    hub = spark.range(0, 60000, 1, 12).selectExpr("id AS src", "IF(id % 10 = 0, id % 97, 7L) AS dst")
+    assert _split(model.in_neighbours(hub, 2, 1_000_000, distinct=False))
+    people = model.vertices_of(hub.selectExpr("dst AS src", "src AS dst")).withColumn("age", F.col("id"))
+    counts = {"n": F.count(F.lit(1)), "sum": F.sum("src_age")}
+    assert _split(messages.aggregate_messages(people, hub, F.col("src_age") > F.col("dst_age"), counts))
+
+
 def test_in_neighbours(edges, rows):
     assert rows(model.in_neighbours(edges, 1, 5)) == [(4, 2, [3, 6])]
     assert rows(model.in_neighbours(edges, 1, 5, distinct=False)) == [(2, 2, [1, 1]), (4, 2, [3, 6])]

@@ -25,8 +25,7 @@ def test_vector_sums(points):
 
 def test_lloyd(points):
     start = [list(POINTS[0]), list(POINTS[40]), list(POINTS[80])]
-    centres, done = kmeans.lloyd(points, "v", start)
-    assert done
+    centres = kmeans.lloyd(points, "v", start)
     assert np.array(centres) == pytest.approx(np.array([POINTS[i : i + 30].mean(axis=0) for i in (0, 30, 60)]))
     clusters = {r["id"]: r["cluster"] for r in kmeans.assign(points, "v", centres, "id").collect()}
     assert clusters == {i: i // 30 for i in range(90)}
@@ -34,7 +33,7 @@ def test_lloyd(points):
 
 def test_empty_cluster_keeps_its_centre_and_ties_go_low(spark):
     df = spark.createDataFrame([(1, [1.0]), (2, [3.0])], "id BIGINT, v ARRAY<DOUBLE>")
-    centres, _ = kmeans.lloyd(df, "v", [[2.0], [2.0], [100.0]], max_rounds=1)
+    centres = kmeans.lloyd_rounds(df, "v", [[2.0], [2.0], [100.0]], 1)
     assert centres == [[2.0], [2.0], [100.0]]
     assert {r["cluster"] for r in kmeans.assign(df, "v", centres, "id").collect()} == {0}
 
