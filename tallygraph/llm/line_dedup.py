@@ -16,13 +16,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallygraph.llm.rows import identified, marks_by_row, with_marks
+from tallygraph.llm.rows import addressed, identified, joined_by_row
 from tallygraph.llm.text import joined, mix, powers, prefix_hash, slices, span_hash
 from tallygraph.session import table
 from tallygraph.storage import materialize
 
 MIN_CHARS = 8
-_ID = F.struct("_order", "_row", "line")
+
+
+def _id():
+    return F.struct("_order", "_row", "line")
 
 
 def _lines(texts: pa.Array) -> tuple[np.ndarray, ...]:
@@ -138,11 +141,11 @@ def repeated_lines(
     if max_edits not in (0, 1):
         raise ValueError("max_edits is 0 or 1")
     rows = identified(docs, key, text)
-    found = materialize(_found(rows, min_chars), "lines")
+    found = materialize(_found(addressed(rows, key, text), min_chars), "lines")
     # Marked rows are dealt out by document, so a very common line does not meet in one task.
     group = F.when(F.col("marked"), F.xxhash64("_row", "line")).otherwise(F.col("whole"))
-    least = F.min(_ID).over(Window.partitionBy("_group"))
-    found = found.withColumn("_group", group).withColumn("_first", (least == _ID) & ~F.col("marked"))
+    least = F.min(_id()).over(Window.partitionBy("_group"))
+    found = found.withColumn("_group", group).withColumn("_first", (least == _id()) & ~F.col("marked"))
     found = materialize(found.drop("marked", "_group"), "distinct-lines")
     marks = found.where("NOT _first").select("_row", "line")
     if max_edits == 0:
@@ -154,17 +157,17 @@ def repeated_lines(
     shared = F.count(F.lit(1)).over(Window.partitionBy("_half")) > 1
     near = halves.withColumn("_shared", shared).where("_shared").select("_row", "line").distinct()
     wanted = near.groupBy("_row").agg(F.collect_list("line").alias("_lines"))
-    texts = rows.join(wanted.hint("shuffle_hash"), "_row")
+    texts = addressed(joined_by_row(docs.select(key, text), key, text, wanted, "inner"), key, text, "_lines")
     variants = materialize(_variants(texts), "line-variants")
 
     itself = F.col("place") < 0
     same_variant = Window.partitionBy("variant")
     same_place = Window.partitionBy("variant", "place")
     met = variants.select(
-        _ID.alias("_id"),
-        F.min(_ID).over(same_place).alias("_other"),  # one character replaced
-        F.when(itself, F.min(F.when(~itself, _ID)).over(same_variant))  # one put in
-        .otherwise(F.min(F.when(itself, _ID)).over(same_variant))  # one left out
+        _id().alias("_id"),
+        F.min(_id()).over(same_place).alias("_other"),  # one character replaced
+        F.when(itself, F.min(F.when(~itself, _id())).over(same_variant))  # one put in
+        .otherwise(F.min(F.when(itself, _id())).over(same_variant))  # one left out
         .alias("_longer"),
     )
     pairs = (
@@ -172,7 +175,7 @@ def repeated_lines(
         .where("_earlier < _id")
         .distinct()
     )
-    lines = variants.where(itself).select(_ID.alias("_id"), "text").distinct()
+    lines = variants.where(itself).select(_id().alias("_id"), "text").distinct()
     verified = (
         pairs.join(lines, "_id")
         .join(lines.select(F.col("_id").alias("_earlier"), F.col("text").alias("_earlier_text")), "_earlier")
@@ -197,8 +200,8 @@ def dedup_lines(
     """
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     docs = docs.select(*kept)
-    marks = marks_by_row(repeated_lines(docs, key, text, max_edits, min_chars), "line")
-    marks = marks.withColumnRenamed("line", "_removed")
+    marks = repeated_lines(docs, key, text, max_edits, min_chars)
+    marks = marks.groupBy("_row").agg(F.collect_list("line").alias("_removed"))
     out = docs.withColumns({c: F.lit(None).cast("bigint") for c in ("n_lines", "n_removed")}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,7 +220,7 @@ def dedup_lines(
                 names=[*kept, "n_lines", "n_removed"],
             )
 
-    return with_marks(docs, key, text, marks).mapInArrow(run, out)
+    return joined_by_row(docs, key, text, marks, "left").mapInArrow(run, out)
 
 
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,24 +9,24 @@ FIRST = -(1 << 63)
 
 
 def identified(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``_order``, ``_row`` and ``_text`` of every document.
+    """Key and text beside ``_row``, a hash of both.
 
-    ``_order`` is the key, a null before all others. ``_row`` is a hash of key and text: it tells
-    documents with equal keys apart and orders them, and fully repeated rows share it.
+    ``_row`` tells documents with equal keys apart and orders them; fully repeated rows share it.
     """
-    return docs.select(
-        F.coalesce(F.col(key).cast("bigint"), F.lit(FIRST).cast("bigint")).alias("_order"),
-        F.xxhash64(key, text).alias("_row"),
-        F.col(text).alias("_text"),
-    )
+    return docs.select(key, text, F.xxhash64(key, text).alias("_row"))
 
 
-def marks_by_row(marks: DataFrame, column: str) -> DataFrame:
-    """The marks of a document in one list. Its length is bounded by the text it lies in."""
-    return marks.groupBy("_row").agg(F.collect_list(column).alias(column))
+def addressed(rows: DataFrame, key: str, text: str, *more: str) -> DataFrame:
+    """``_order`` (the key, a null before all others), ``_row`` and ``_text`` of identified rows."""
+    order = F.coalesce(F.col(key).cast("bigint"), F.lit(FIRST).cast("bigint"))
+    return rows.select(order.alias("_order"), "_row", F.col(text).alias("_text"), *more)
 
 
-def with_marks(docs: DataFrame, key: str, text: str, marks: DataFrame) -> DataFrame:
-    """All columns of the documents beside the marks of their row, null without any."""
+def joined_by_row(docs: DataFrame, key: str, text: str, marks: DataFrame, how: str) -> DataFrame:
+    """All columns of the documents and ``_row`` beside the marks of their row.
+
+    The texts are moved in the same shape by every call on the same columns, so the calls of one
+    plan share one exchange of them. The marks are the side that is held in memory.
+    """
     rows = docs.withColumn("_row", F.xxhash64(key, text))
-    return rows.join(marks.hint("shuffle_hash"), "_row", "left").drop("_row")
+    return rows.join(marks.hint("shuffle_hash"), "_row", how)

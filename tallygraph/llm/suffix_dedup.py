@@ -20,13 +20,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygraph.llm.anchors import repeated_anchors
-from tallygraph.llm.rows import identified, with_marks
-from tallygraph.llm.text import byte_prefix, joined, slices, span_hash, winnow
+from tallygraph.llm.rows import addressed, identified, joined_by_row
+from tallygraph.llm.text import byte_prefix, joined, mix, slices, span_hash, winnow
 from tallygraph.session import table
 
 WINDOW = 400
 GRAM = 96
-RUN_BYTES = 24 << 20  # text of the suffixes that a task sorts into one run
+RUN_BYTES = 10 << 20  # text of the suffixes that a task sorts into one run
 
 
 def common(a: bytes, b: bytes, known: int = 0) -> int:
@@ -133,19 +133,32 @@ def _anchors(window: int, gram: int):
 
 
 _RUNS = (
-    "_bucket bigint, _row bigint, _low int, _high int, _size int, _anchors binary, _rows binary, "
-    "_places binary, _twice binary, _right_sizes binary, _right binary, _left_sizes binary, _left binary"
+    "_bucket bigint, _row bigint, _spans binary, _size int, _anchors binary, _rows binary, _places binary, "
+    "_twice binary, _right_sizes binary, _right binary, _left_sizes binary, _left binary"
+)
+_SCHEMA = pa.schema(
+    [
+        (n, {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[t])
+        for n, t in (part.split() for part in _RUNS.split(", "))
+    ]
 )
-_RUN_NAMES = [part.split()[0] for part in _RUNS.split(", ")]
-
-
-def _span_row(row: int, low: int, high: int, buckets: int) -> tuple:
-    return (row % buckets, row, low, high, 0, *[None] * 8)
 
 
-def _batch(rows: list[tuple], names: list[str], first: int = 8) -> pa.RecordBatch:
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()] + [pa.binary()] * first
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+def _packed_spans(row: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Rows, and the union of the spans of each as packed 32-bit pairs."""
+    order = np.lexsort((low, row))
+    row, low, high = row[order], low[order].astype(np.int64), high[order].astype(np.int64)
+    if not len(row):
+        return row, []
+    fresh = np.concatenate(([True], row[1:] != row[:-1]))
+    shift = (np.cumsum(fresh) - 1) << 32  # a row's spans lie apart from those of all others
+    reach = np.maximum.accumulate(high + shift)
+    begin = np.flatnonzero(fresh | (low + shift > np.concatenate(([-1], reach[:-1]))))
+    ends = np.append(begin[1:], len(row)) - 1
+    pairs = np.stack((low[begin], reach[ends] - shift[ends]), axis=1).astype(np.int32)
+    owner = row[begin]
+    first = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
+    return owner[first], [p.tobytes() for p in np.split(pairs, first[1:])]
 
 
 def _sorted_runs(texts: DataFrame, window: int, gram: int, buckets: int) -> DataFrame:
@@ -159,27 +172,32 @@ def _sorted_runs(texts: DataFrame, window: int, gram: int, buckets: int) -> Data
 
     def flush(held: dict) -> Iterator[pa.RecordBatch]:
         entries = sorted(held.items())
-        spans = []
+        known: list[tuple[int, int, int]] = []
         pieces: dict[int, list] = {}
         for (anchor, right, left), where in entries:
-            for row, place in where[: 0 if len(where) == 1 else None]:
-                spans.append(_span_row(row, place - len(left), place + len(right), buckets))
+            if len(where) > 1:
+                known += [(row, place - len(left), place + len(right)) for row, place in where]
             pieces.setdefault(anchor * buckets >> 64, []).append((anchor, right, left, where))
-        for i in range(0, len(spans), 20_000):
-            yield _batch(spans[i : i + 20_000], _RUN_NAMES)
+        if known:
+            owner, packed = _packed_spans(*(np.array(c) for c in zip(*known)))
+            columns = {"_bucket": owner % buckets, "_row": owner, "_spans": packed, "_size": np.zeros(len(owner), np.int32)}
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(len(owner), f.type) for f in _SCHEMA],
+                schema=_SCHEMA,
+            )
         for bucket, piece in pieces.items():
             anchors, rights, lefts, where = zip(*piece)
             right_sizes, right = front_coded(list(rights))
             left_sizes, left = front_coded(list(lefts))
             row = (
-                bucket, 0, 0, 0, len(piece),
+                bucket, 0, None, len(piece),
                 np.array(anchors, np.uint64).tobytes(),
                 np.array([w[0][0] for w in where], np.int64).tobytes(),
                 np.array([w[0][1] for w in where], np.int32).tobytes(),
                 np.array([len(w) > 1 for w in where], np.uint8).tobytes(),
                 right_sizes.tobytes(), right, left_sizes.tobytes(), left,
             )
-            yield _batch([row], _RUN_NAMES)
+            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _SCHEMA)], schema=_SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, list] = {}
@@ -189,7 +207,8 @@ def _sorted_runs(texts: DataFrame, window: int, gram: int, buckets: int) -> Data
             places = batch.column("_places")
             of = pc.list_parent_indices(places).to_numpy()
             at = bounds[of] + pc.list_flatten(places).to_numpy()
-            grams = span_hash(byte_prefix(data), at, at + gram)
+            # Anchors are the smallest hashes around them: mixed once more they are spread evenly.
+            grams = mix(span_hash(byte_prefix(data), at, at + gram))
             rows = batch.column("_row").to_numpy()
             whole = data.tobytes()
             backward = whole[::-1]
@@ -304,22 +323,22 @@ def _merge(table_: pa.Table, window: int, gram: int) -> Iterator[tuple]:
 def repeated_bytes(
     docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM
 ) -> DataFrame:
-    """``_row, _spans``: byte ranges of each document covered by strings that occur again."""
-    rows = identified(docs, key, text)
+    """``_row, _spans``: byte ranges of each document covered by strings that occur again, packed."""
+    rows = addressed(identified(docs, key, text), key, text)
     places = repeated_anchors(rows, _anchors(window, gram))
     ranges = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    runs = _sorted_runs(rows.join(places.hint("shuffle_hash"), "_row"), window, gram, ranges)
+    texts = addressed(joined_by_row(docs.select(key, text), key, text, places, "inner"), key, text, "_places")
+    runs = _sorted_runs(texts, window, gram, ranges)
 
     def merge(part: pa.Table) -> pa.Table:
-        known = part.filter(pc.equal(part["_size"], 0)).select(["_row", "_low", "_high"])
+        known = part.filter(pc.equal(part["_size"], 0)).select(["_row", "_spans"])
         found = list(_merge(part.filter(pc.greater(part["_size"], 0)), window, gram))
-        columns = list(zip(*found)) or [[], [], []]
-        schema = pa.schema([("_row", pa.int64()), ("_low", pa.int32()), ("_high", pa.int32())])
-        more = pa.table([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
-        return pa.concat_tables([known.cast(schema), more])
+        owner, packed = _packed_spans(*(np.array(c, np.int64) for c in (zip(*found) if found else ([], [], []))))
+        more = pa.table({"_row": pa.array(owner, pa.int64()), "_spans": pa.array(packed, pa.binary())})
+        return pa.concat_tables([known, more])
 
-    spans = runs.groupBy("_bucket").applyInArrow(merge, "_row bigint, _low int, _high int")
-    return spans.groupBy("_row").agg(F.collect_list(F.struct("_low", "_high")).alias("_spans"))
+    spans = runs.groupBy("_bucket").applyInArrow(merge, "_row bigint, _spans binary")
+    return spans.groupBy("_row").agg(F.collect_list("_spans").alias("_spans"))
 
 
 def dedup_bytes(
@@ -353,7 +372,8 @@ def dedup_bytes(
             for i, marks in enumerate(batch.column("_spans").to_pylist()):
                 own = whole[bounds[i] : bounds[i + 1]]
                 merged: list[list[int]] = []
-                for low, high in sorted((m["_low"], m["_high"]) for m in marks or ()):
+                pairs = [np.frombuffer(m, np.int32).reshape(-1, 2) for m in marks or ()]
+                for low, high in sorted(map(tuple, np.concatenate(pairs).tolist())) if pairs else ():
                     if merged and low <= merged[-1][1]:
                         merged[-1][1] = max(merged[-1][1], high)
                     else:
@@ -371,7 +391,8 @@ def dedup_bytes(
                 names=[*kept, "n_bytes", "spans", "kept"],
             )
 
-    return with_marks(docs, key, text, repeated_bytes(docs, key, text, window, gram)).mapInArrow(run, out)
+    marks = repeated_bytes(docs, key, text, window, gram)
+    return joined_by_row(docs, key, text, marks, "left").mapInArrow(run, out)
 
 
 def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
