@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallygraph.llm.anchors import repeated_anchors
-from tallygraph.llm.rows import identified, with_marks
+from tallygraph.llm.rows import addressed, identified, joined_by_row
 from tallygraph.llm.text import (
     SPACE,
     byte_prefix,
@@ -97,35 +97,49 @@ def _extended(texts: DataFrame, window: int, gram: int) -> DataFrame:
             first = np.maximum.accumulate(np.where(same, 0, np.arange(len(same))))
             # The same window of a repeated row is no later window.
             later = (order_ != order_[first]) | (row != row[first]) | (place != place[first])
-            # One row for the first of equal windows; a marked one goes straight to its document.
-            # The anchor is part of the key: both hashes must agree for windows to count as equal.
-            meet = np.where(later, mix(row.view(np.uint64) + place.astype(np.uint64)), mix(anchors) ^ content)
+            # Marks go straight to their documents, packed; the others are compared elsewhere. The
+            # anchor is part of the key: both hashes must agree for windows to count as equal.
+            # In the order of the text, so that what a document's rows share compresses.
+            kept = np.flatnonzero(~later)
+            kept = kept[np.argsort(order[kept])]
+            meet = (mix(anchors) ^ content)[kept].view(np.int64)
+            own_row, own_place = row[later], place[later]
+            by_row = np.lexsort((own_place, own_row))
+            own_row, own_place = own_row[by_row], own_place[by_row]
+            begin = np.flatnonzero(np.concatenate(([True], own_row[1:] != own_row[:-1]))) if len(own_row) else own_row
+            packed = [part.tobytes() for part in np.split(own_place, begin[1:])] if len(own_row) else []
+            n = len(packed)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(meet.view(np.int64)),
-                    pa.array(order_),
-                    pa.array(row),
-                    pa.array(np.where(later, -1 - place, place).astype(np.int32)),
+                    pa.concat_arrays([pa.array(meet), pa.array(mix(own_row[begin].view(np.uint64)).view(np.int64))]),
+                    pa.concat_arrays([pa.array(order_[kept]), pa.nulls(n, pa.int64())]),
+                    pa.concat_arrays([pa.array(row[kept]), pa.array(own_row[begin])]),
+                    pa.concat_arrays([pa.array(place[kept]), pa.nulls(n, pa.int32())]),
+                    pa.concat_arrays([pa.nulls(len(meet), pa.binary()), pa.array(packed, pa.binary())]),
                 ],
-                names=["_window", "_order", "_row", "_place"],
+                names=["_window", "_order", "_row", "_place", "_marks"],
             )
 
-    return texts.mapInArrow(run, "_window bigint, _order bigint, _row bigint, _place int")
+    return texts.mapInArrow(run, "_window bigint, _order bigint, _row bigint, _place int, _marks binary")
 
 
 def repeated_windows(
     docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM
 ) -> DataFrame:
-    """``_row, _places``: starts of the windows of each document that occur earlier."""
-    rows = identified(docs, key, text)
+    """``_row, _places, _marks``: starts of the windows of each document that occur earlier, partly
+    as numbers and partly as packed 32-bit numbers."""
+    rows = addressed(identified(docs, key, text), key, text)
     seeds = repeated_anchors(rows, _anchors(window, gram))
-    extended = _extended(rows.join(seeds.hint("shuffle_hash"), "_row"), window, gram)
-    marked = F.col("_place") < 0
+    texts = joined_by_row(docs.select(key, text), key, text, seeds, "inner")
+    extended = _extended(addressed(texts, key, text, "_places"), window, gram)
+    marked = F.col("_marks").isNotNull()
     id_ = F.struct("_order", "_row", "_place")
     first = F.min(F.when(~marked, id_)).over(Window.partitionBy("_window"))
     repeats = extended.withColumn("_first", first).where(marked | (F.col("_first") < id_))
-    place = F.when(marked, -1 - F.col("_place")).otherwise(F.col("_place"))
-    return repeats.groupBy("_row").agg(F.collect_list(place).alias("_places"))
+    return repeats.groupBy("_row").agg(
+        F.collect_list(F.when(~marked, F.col("_place"))).alias("_places"),
+        F.collect_list("_marks").alias("_marks"),
+    )
 
 
 def dedup_passages(
@@ -159,7 +173,10 @@ def dedup_passages(
             own = _Words(texts)
             places = batch.column("_places")
             of = pc.list_parent_indices(places).to_numpy()
-            at = own.first[of] + pc.list_flatten(places).to_numpy()
+            at = [own.first[of] + pc.list_flatten(places).to_numpy()]
+            for i, marks in enumerate(batch.column("_marks").to_pylist()):
+                at += [own.first[i] + np.frombuffer(m, np.int32) for m in marks or ()]
+            at = np.concatenate(at)
             change = np.bincount(at, minlength=len(own.start) + window + 1).astype(np.int64)
             change[window:] -= change[:-window].copy()
             gone = np.cumsum(change)[: len(own.start)] > 0
@@ -174,7 +191,8 @@ def dedup_passages(
                 names=[*kept, "n_words", "n_removed", "spans"],
             )
 
-    return with_marks(docs, key, text, repeated_windows(docs, key, text, window, gram)).mapInArrow(run, out)
+    marks = repeated_windows(docs, key, text, window, gram)
+    return joined_by_row(docs, key, text, marks, "left").mapInArrow(run, out)
 
 
 def _runs(gone: np.ndarray, doc: np.ndarray, first: np.ndarray, n_docs: int) -> list[list[dict]]:
