@@ -195,18 +195,23 @@ class Landmarks:
         return doc[where], row_of[inverse[where]], [whole[a:b] for a, b in spans], rows
 
 
+def _beginnings(found: set[bytes]) -> set[bytes]:
+    return {w[:n] for w in found for n in range(SHORTEST, min(len(w), LONGEST) + 1)}
+
+
 def choose_landmarks(texts: list[str], labels: np.ndarray, limit: int = LANDMARKS) -> list[bytes]:
     """The commonest word beginnings and words of toxic texts that hardly occur in clean ones."""
-    own: list[set[bytes]] = []
+    own: list[set[bytes]] = []  # words, not their beginnings: those would fill the driver
+    known: dict[bytes, bytes] = {}  # one object for each word
     toxic: Counter = Counter()
     for text, label in zip(texts, labels.tolist()):
         data = lowered(np.frombuffer(text.encode(), np.uint8))
         start, end, _ = words(data, np.array([0, len(data)]), ~_LETTER)
         whole = data.tobytes()
         found = {whole[a:b] for a, b in zip(start.tolist(), end.tolist()) if b - a >= SHORTEST}
-        own.append({w[:n] for w in found for n in range(SHORTEST, min(len(w), LONGEST) + 1)})
+        own.append({known.setdefault(w, w) for w in found})
         if label:
-            toxic.update(own[-1])
+            toxic.update(_beginnings(own[-1]))
     good = {s for s, n in toxic.items() if n >= max(4, int(labels.sum()) // 40)}
     # Each half of the texts must tell the same story: twice in toxic ones, and 30 times as often
     # as in clean ones. What holds in one half by chance does not in the other.
@@ -215,8 +220,8 @@ def choose_landmarks(texts: list[str], labels: np.ndarray, limit: int = LANDMARK
         n_toxic = max(1, sum(sign))
         n_clean = max(1, len(sign) - sum(sign))
         bad, fine = Counter(), Counter()
-        for begins, label in zip(part, sign):
-            (bad if label else fine).update(begins & good)
+        for found, label in zip(part, sign):
+            (bad if label else fine).update(_beginnings(found) & good)
         good = {s for s in good if bad[s] >= 2 and bad[s] * n_clean > 30 * fine[s] * n_toxic}
     chosen: list[bytes] = []
     while good and len(chosen) < limit:
