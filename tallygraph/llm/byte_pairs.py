@@ -164,6 +164,8 @@ class Vocabulary:
 
     def _check(self, codes: np.ndarray) -> np.ndarray:
         """Whether each neighbour pair (left * size + right; right = size: none) stays as it is."""
+        if len(self._pairs) > CACHED_PAIRS:  # before looking up, so that all of this call's pairs stay
+            self._pairs, self._holds = np.zeros(0, np.int64), np.zeros(0, bool)
         wanted = np.unique(codes)
         fresh = wanted[~np.isin(wanted, self._pairs, assume_unique=True)]
         if len(fresh):
@@ -174,20 +176,10 @@ class Vocabulary:
                     holds[n] = self.merge(self.tokens[left]) == [left]
                 else:
                     holds[n] = self.merge(self.tokens[left] + self.tokens[right]) == [left, right]
-            if len(self._pairs) > CACHED_PAIRS:
-                self._pairs, self._holds = np.zeros(0, np.int64), np.zeros(0, bool)
-                wanted_pairs, wanted_holds = fresh, holds
-                rest = wanted[~np.isin(wanted, fresh, assume_unique=True)]
-                if len(rest):
-                    self._pairs, self._holds = wanted_pairs, wanted_holds
-                    self._check(rest)
-                    return self._holds[np.searchsorted(self._pairs, codes)]
-                self._pairs, self._holds = wanted_pairs, wanted_holds
-            else:
-                pairs = np.concatenate((self._pairs, fresh))
-                order = np.argsort(pairs, kind="stable")
-                self._pairs = pairs[order]
-                self._holds = np.concatenate((self._holds, holds))[order]
+            pairs = np.concatenate((self._pairs, fresh))
+            order = np.argsort(pairs, kind="stable")
+            self._pairs = pairs[order]
+            self._holds = np.concatenate((self._holds, holds))[order]
         return self._holds[np.searchsorted(self._pairs, codes)]
 
     def _learn(self, words: list[str]) -> None:
