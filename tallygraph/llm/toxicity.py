@@ -215,8 +215,10 @@ def choose_landmarks(texts: list[str], labels: np.ndarray, limit: int = LANDMARK
     good = {s for s, n in toxic.items() if n >= max(4, int(labels.sum()) // 40)}
     # Each half of the texts must tell the same story: twice in toxic ones, and 30 times as often
     # as in clean ones. What holds in one half by chance does not in the other.
+    # Toxic and clean texts are halved apart, so that no order of the rows empties a half.
     for half in (0, 1):
-        part, sign = own[half::2], labels[half::2].tolist()
+        rows = [i for label in (1, 0) for i in np.flatnonzero((labels > 0) == label)[half::2].tolist()]
+        part, sign = [own[i] for i in rows], labels[rows].tolist()
         n_toxic = max(1, sum(sign))
         n_clean = max(1, len(sign) - sum(sign))
         bad, fine = Counter(), Counter()
