@@ -52,8 +52,8 @@ def test_metric_search(spark, rows, monkeypatch, seed, leaf):
     vectors = {i: rng.normal(size=6).round(3).tolist() for i in range(150)}
     vectors.update({i: vectors[7] for i in range(200, 260)})  # a very common vector
     vectors.update({300: [0.0] * 6, 301: [5.0] * 6})
-    data = [*vectors.items(), (301, vectors[301]), (400, None), (401, [1.0, None, 0, 0, 0, 0]), (None, vectors[0])]
-    data += [(402, [float("nan")] * 6), (403, [float("inf"), 0, 0, 0, 0, 0]), (404, [1.0, 2.0]), (405, [])]
+    data = [*vectors.items(), (301, vectors[301]), (400, None), (401, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (None, vectors[0])]
+    data += [(402, [float("nan")] * 6), (403, [float("inf"), 0.0, 0.0, 0.0, 0.0, 0.0]), (404, [1.0, 2.0]), (405, [])]
     frame = spark.createDataFrame(data, "vec_id BIGINT, embedding ARRAY<DOUBLE>").withColumn("score", F.lit("clash"))
     whole = {i: np.floor(np.array(v) * 1024).astype(np.int64) for i, v in vectors.items()}
     want = []
