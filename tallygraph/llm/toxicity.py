@@ -3,7 +3,9 @@
 The kernel of two strings counts the subsequences of three characters they share, each weighted
 down by the gaps it spans, so an insult with a character put in or left out stays close to itself.
 Normalised and taken to the fourth power (which is a kernel again), it is compared with the
-beginnings of words about as long as a landmark; the most toxic word of a sentence counts. Landmarks are word beginnings that tell toxic training documents from clean ones;
+stretches of words about as long as a landmark. Words are read without what is no letter in them
+and spelled-out words as one, and a landmark with up to two letters put in stays close. The most
+toxic word of a text counts. Landmarks are word beginnings that tell toxic training documents from clean ones;
 the Nystroem map through them makes the kernel machine a linear one, trained on labelled sentences.
 A document scores as its most toxic sentence does.
 """
@@ -27,6 +29,7 @@ ALIKE = 100  # clean words taken as landmarks beside them
 SHORTEST, LONGEST = 4, 12  # bytes of a landmark
 DECAY = 0.5
 EXTRA = 2  # bytes a stretch may be longer than the landmark
+GAP = 0.985  # closeness kept for each byte put into a landmark that is there whole
 CLOSE = 0.6  # a stretch further away counts as unrelated
 POWER = 4
 CACHED_WORDS = 200_000
@@ -85,20 +88,47 @@ def normalised_kernel(left: list[bytes], right: list[bytes]) -> np.ndarray:
     return subsequence_kernel(a, b) / np.maximum(own, 1e-12)
 
 
+def put_in(text: bytes, mark: bytes) -> int | None:
+    """Bytes put into the landmark at the beginning of the text, one after a byte at most."""
+    at, count = 0, 0
+    for i, x in enumerate(mark):
+        if text[at : at + 1] != mark[i : i + 1]:
+            at, count = at + 1, count + 1
+            if not i or count > EXTRA or text[at : at + 1] != mark[i : i + 1]:
+                return None
+        at += 1
+    return count
+
+
+def _spelled(data: np.ndarray, start: np.ndarray, end: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Words that lie on end, runs of one-letter words of a document made one word."""
+    if not len(start):
+        return start, end, doc
+    size = end - start
+    one = (size == 1) | ((size == 2) & (data[start] >= 0xC0))
+    head = np.concatenate(([True], ~(one[1:] & one[:-1] & (doc[1:] == doc[:-1]))))
+    head = np.flatnonzero(head)
+    return start[head], end[np.append(head[1:], len(start)) - 1], doc[head]
+
+
 class Landmarks:
-    """Similarity of words to a fixed list of short strings."""
+    """Similarity of words to a fixed list of short strings.
+
+    ``inside`` tells which of them may also lie inside a word, the others only at its beginning.
+    """
 
-    def __init__(self, strings: list[bytes]):
+    def __init__(self, strings: list[bytes], inside: np.ndarray | None = None):
         self.strings = strings
+        self.inside = np.ones(len(strings), bool) if inside is None else inside
         # Three characters with at most one left out on either side, and the landmarks they are in.
-        owners: dict[int, set[int]] = {}
+        owners: dict[int, set[tuple[int, int]]] = {}
         for n, s in enumerate(strings):
             for i in range(len(s)):
                 for a, b in ((1, 2), (1, 3), (2, 3)):
                     if i + b < len(s):
-                        owners.setdefault((s[i] << 16) | (s[i + a] << 8) | s[i + b], set()).add(n)
+                        owners.setdefault((s[i] << 16) | (s[i + a] << 8) | s[i + b], set()).add((n, i))
         self.codes = np.array(sorted(owners), np.int64)
-        self.owners = [np.array(sorted(owners[c])) for c in self.codes.tolist()]
+        self.owners = [np.array(sorted(owners[c])) for c in self.codes.tolist()]  # landmark, place in it
         self._start()
 
     def _start(self) -> None:
@@ -114,18 +144,22 @@ class Landmarks:
         self._start()
 
     def _closest(self, pairs: list[tuple[bytes, int]]) -> np.ndarray:
-        """Kernel of each landmark and the closest beginning of the word."""
+        """Closeness of each landmark and the beginning of a stretch."""
         fresh = [p for p in set(pairs) if p not in self._values]
         left, right, owner = [], [], []
         for n, (text, mark) in enumerate(fresh):
             size = len(self.strings[mark])
-            stretches = {text[: size + e] for e in range(EXTRA + 1)}
+            stretches = sorted({text[: size + e] for e in range(EXTRA + 1)})
             left += stretches
             right += [self.strings[mark]] * len(stretches)
             owner += [n] * len(stretches)
         values = np.zeros(len(fresh))
         for i in range(0, len(left), 20_000):
             np.maximum.at(values, owner[i : i + 20_000], normalised_kernel(left[i : i + 20_000], right[i : i + 20_000]))
+        for n, (text, mark) in enumerate(fresh):
+            count = put_in(text, self.strings[mark])
+            if count is not None:
+                values[n] = max(values[n], GAP**count)
         if len(self._values) + len(fresh) > CACHED_WORDS:
             self._values = {p: self._values[p] for p in set(pairs) if p in self._values}
         self._values.update(zip(fresh, values.tolist()))
@@ -142,26 +176,38 @@ class Landmarks:
         at = np.arange(len(word_of)) - np.repeat(np.cumsum(end - start) - (end - start), end - start)
         at = at + start[word_of] if len(start) else at
         stop = end[word_of] if len(end) else at
-        for a, b in ((1, 2), (1, 3), (2, 3)):
+        places = [np.zeros(0, np.int64)]
+        for a, b in ((1, 2), (1, 3), (2, 3), (2, 4)):
             fits = at + b < stop
             p = at[fits]
             code = (data[p].astype(np.int64) << 16) | (data[p + a].astype(np.int64) << 8) | data[p + b]
             known = self._table[code]
             words_.append(word_of[fits][known])
+            places.append(p[known])
             hits.append(np.searchsorted(self.codes, code[known]))
-        word, hit = np.concatenate(words_), np.concatenate(hits)
+        word, hit, place = np.concatenate(words_), np.concatenate(hits), np.concatenate(places)
         if not len(word):
             return word, word, np.zeros(0)
         size = np.array([len(o) for o in self.owners])[hit]
-        pair = np.repeat(word, size) * len(self.strings) + np.concatenate([self.owners[h] for h in hit.tolist()])
-        pair, shared = np.unique(pair, return_counts=True)
-        word, mark = pair // len(self.strings), pair % len(self.strings)
+        owner = np.concatenate([self.owners[h] for h in hit.tolist()])
+        pair = np.repeat(word, size) * len(self.strings) + owner[:, 0]
+        # Where the landmark would begin for the trigram to lie at its place.
+        begin = np.maximum(np.repeat(place, size) - owner[:, 1], start[np.repeat(word, size)])
+        pairs, inverse, shared = np.unique(pair, return_inverse=True, return_counts=True)
         # Two changed characters leave at least this many of a landmark's trigrams of either kind.
-        need = np.array([max(2, len(s) - 3) for s in self.strings])[mark]
-        word, mark = word[shared >= need], mark[shared >= need]
+        length = np.array([len(s) for s in self.strings])
+        enough = (shared >= np.maximum(2, length - 3)[pairs % len(self.strings)])[inverse]
+        enough &= self.inside[pair % len(self.strings)] | (begin == start[pair // len(self.strings)])
+        pair, begin = np.unique(np.stack((pair, begin))[:, enough], axis=1)
+        word, mark = pair // len(self.strings), pair % len(self.strings)
         whole = data.tobytes()
-        spans = zip(start[word].tolist(), end[word].tolist(), mark.tolist())
+        stop = np.minimum(begin + length[mark] + EXTRA, end[word])
+        spans = zip(begin.tolist(), stop.tolist(), mark.tolist())
         values = self._closest([(whole[a:b], m) for a, b, m in spans])
+        # The closest stretch of a word counts.
+        pairs, first = np.unique(pair, return_index=True)
+        values = np.maximum.reduceat(values, first) if len(first) else values
+        word, mark = pairs // len(self.strings), pairs % len(self.strings)
         close = values >= CLOSE
         return word[close], mark[close], values[close] ** POWER
 
@@ -173,12 +219,15 @@ class Landmarks:
         none = np.zeros(0, np.int64), np.zeros(0, np.int64), [], np.zeros((0, len(self.strings)))
         if not len(start):
             return none
-        letters = np.flatnonzero(_LETTER[data])
-        # Cut what is no letter from both ends of a word.
-        first = np.searchsorted(letters, start)
-        last = np.searchsorted(letters, end) - 1
-        use = last >= first
-        start, end, doc = letters[first[use]], letters[last[use]] + 1, doc[use]
+        # Leave out what is no letter, within words as well.
+        letter = _LETTER[data]
+        before = np.concatenate(([0], np.cumsum(letter)))
+        data = data[letter]
+        start, end = before[start], before[end]
+        use = end > start
+        start, end, doc = _spelled(data, start[use], end[use], doc[use])
+        if not len(start):
+            return none
         content = span_hash(byte_prefix(data), start, end)
         _, chosen, inverse = np.unique(content, return_index=True, return_inverse=True)
         word, mark, value = self.similar(data, start[chosen], end[chosen])
@@ -299,10 +348,14 @@ def fit(texts: list[str], labels: np.ndarray) -> Model:
     insults = len(strings)
     doc, word, names, kernel = _instances(Landmarks(strings), texts)
     alike = Counter(word[labels[doc] == 0].tolist())
-    alike = {n: c for n, c in alike.items() if kernel[n].max() < 0.999 and len(names[n]) >= SHORTEST}
+    # What clean words hold inside says something at the beginning of a word only.
+    inner = np.array([[not w.startswith(s) for s in strings] for w in names]).reshape(kernel.shape) & (kernel >= 0.999)
+    held = np.array([alike[n] for n in range(len(names))]) @ inner
+    alike = {n: c for n, c in alike.items() if not names[n].startswith(tuple(strings)) and len(names[n]) >= SHORTEST}
     strings += [names[n][:LONGEST] for n in sorted(alike, key=lambda n: (-alike[n] * kernel[n].max(), names[n]))[:ALIKE]]
     strings = list(dict.fromkeys(strings))
-    marks = Landmarks(strings)
+    # Clean words are landmarks for words that begin as they do.
+    marks = Landmarks(strings, np.append(held < 2, np.zeros(len(strings) - insults, bool)))
     doc, word, names, kernel = _instances(marks, texts)
     # Nystroem: features = kernel to the landmarks times the inverse root of theirs.
     n = len(strings)

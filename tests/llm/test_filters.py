@@ -180,6 +180,19 @@ def test_toxicity_learns_and_tolerates():
     assert (scores[402:] > 0.5).all()
 
 
+def test_toxicity_finds_gapped_insults():
+    rng = random.Random(3)
+    plain = lambda: " ".join(rng.choice(["the", "river", "and", "stones", "quietly", "went"]) for _ in range(12))
+    bad = ["scum", "moron", "stupid", "pathetic"]
+    texts = [plain() + ". " + (rng.choice(bad) + " " if i % 4 == 0 else "") + plain() for i in range(400)]
+    model = toxicity.fit(texts, np.array([i % 4 == 0 for i in range(400)], np.int64))
+    for word in bad:
+        forms = [word[:2] + "." + word[2:], word[:1] + "*" + word[1:3] + "*" + word[3:], "-".join(word), " ".join(word)]
+        forms += [word[:2] + "x" + word[2:], word[:1] + "x" + word[1:3] + "x" + word[3:], "super" + word]
+        assert (model.scores(pa.array([plain() + " " + f + " " + plain() for f in forms])) >= 0.7).all()
+    assert (model.scores(pa.array(["s t o n e s", "the st.on.es went", plain()])) < 0.7).all()
+
+
 def test_classifiers_without_labels():
     for fit in (toxicity.fit, quality.fit):
         for texts, labels in (([], []), (["a b", "c"], [0, 0])):
