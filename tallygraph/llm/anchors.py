@@ -20,7 +20,7 @@ def repeated_anchors(rows: DataFrame, find: Find) -> DataFrame:
     ``find`` returns hash, document and place of every anchor of an array of texts. Equal anchors
     of one slice know of each other without a shuffle; they are dealt out by document and only one
     word of them goes to the group of their content. So an anchor that a third of all documents
-    share is a few rows per task there.
+    share is a few rows per task there. Repeated rows have each place once in their common list.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -45,4 +45,4 @@ def repeated_anchors(rows: DataFrame, find: Find) -> DataFrame:
     found = rows.mapInArrow(run, "_group bigint, _row bigint, _place int, _known boolean")
     count = F.count(F.lit(1)).over(Window.partitionBy("_group", "_known"))
     again = found.withColumn("_count", count).where("_place >= 0 AND (_known OR _count > 1)")
-    return again.groupBy("_row").agg(F.collect_list("_place").alias("_places"))
+    return again.groupBy("_row").agg(F.collect_set("_place").alias("_places"))

@@ -100,7 +100,10 @@ def _extended(texts: DataFrame, window: int, gram: int) -> DataFrame:
             # Marks go straight to their documents, packed; the others are compared elsewhere. The
             # anchor is part of the key: both hashes must agree for windows to count as equal.
             # In the order of the text, so that what a document's rows share compresses.
-            kept = np.flatnonzero(~later)
+            # Copies of a repeated row speak once.
+            again = np.concatenate(([False], same[1:] & (order_[1:] == order_[:-1]) & (row[1:] == row[:-1]) & (place[1:] == place[:-1])))
+            later &= ~again
+            kept = np.flatnonzero(~later & ~again)
             kept = kept[np.argsort(order[kept])]
             meet = (mix(anchors) ^ content)[kept].view(np.int64)
             own_row, own_place = row[later], place[later]
@@ -137,8 +140,8 @@ def repeated_windows(
     first = F.min(F.when(~marked, id_)).over(Window.partitionBy("_window"))
     repeats = extended.withColumn("_first", first).where(marked | (F.col("_first") < id_))
     return repeats.groupBy("_row").agg(
-        F.collect_list(F.when(~marked, F.col("_place"))).alias("_places"),
-        F.collect_list("_marks").alias("_marks"),
+        F.collect_set(F.when(~marked, F.col("_place"))).alias("_places"),
+        F.collect_set("_marks").alias("_marks"),
     )
 
 

@@ -338,7 +338,7 @@ def repeated_bytes(
         return pa.concat_tables([known, more])
 
     spans = runs.groupBy("_bucket").applyInArrow(merge, "_row bigint, _spans binary")
-    return spans.groupBy("_row").agg(F.collect_list("_spans").alias("_spans"))
+    return spans.groupBy("_row").agg(F.collect_set("_spans").alias("_spans"))
 
 
 def dedup_bytes(

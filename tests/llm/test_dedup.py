@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallygraph.llm import line_dedup, simhash, substring_dedup, suffix_dedup, text
+from tallygraph.llm import anchors, line_dedup, simhash, substring_dedup, suffix_dedup, text
+from tallygraph.llm import rows as rows_of
 from tests.llm import brute
 
 RNG = random.Random(11)
@@ -83,6 +84,19 @@ def test_bytes_of_repeated_rows(spark):
     assert found.count() == 4
 
 
+def test_repeated_rows_share_one_list_of_anchors(spark):
+    text_ = prose(200)
+    docs = spark.createDataFrame([(1, text_)] * 5 + [(2, text_ + " end")], "doc_id BIGINT, text STRING")
+    rows = rows_of.addressed(rows_of.identified(docs, "doc_id", "text"), "doc_id", "text")
+    for find in (suffix_dedup._anchors(40, 16), substring_dedup._anchors(20, 6)):
+        lists = [r["_places"] for r in anchors.repeated_anchors(rows, find).collect()]
+        assert len(lists) == 2 and all(len(x) == len(set(x)) > 5 for x in lists)
+    marks = substring_dedup.repeated_windows(docs).collect()
+    assert len(marks) == 1 and len(marks[0]["_places"]) + sum(len(m) // 4 for m in marks[0]["_marks"]) <= 200
+    found = suffix_dedup.dedup_bytes(docs, window=40, gram=16)
+    assert [bytes(r["kept"]) for r in found.where("doc_id = 1").collect()] == [b""] * 5
+
+
 @pytest.mark.parametrize("window,gram", [(20, 6), (5, 2), (3, 3)])
 def test_words(docs, window, gram):
     found = substring_dedup.dedup_passages(docs, window=window, gram=gram)
