@@ -20,6 +20,9 @@ MODULES = (
     "simhash",
     "toxicity",
     "quality",
+    "token_alignment",
+    "spelling",
+    "exact_dedup",
 )
 
 

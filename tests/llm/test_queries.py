@@ -27,7 +27,7 @@ def texts(spark):
 
 
 def test_entry_lists_all():
-    assert {int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES} == set(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
     assert set(ORACLES) <= set(__spark_entry__.oracle_sql())
 
