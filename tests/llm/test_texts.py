@@ -270,3 +270,14 @@ def test_alignment_query_against_all_pairs(spark):
         own = links[r["doc_id"]]
         assert r["n_links"] == len(own) and r["count_sum"] == sum(counts[x] for x in own)
         assert r["n_best"] == sum(counts[x] == best[x[1]] for x in own)
+
+
+def test_ranks_encode_like_the_library(spark):
+    """Over whole texts of the table, and over texts of odd white space and long words."""
+    both = token_alignment.Tokenizers(*token_alignment._vocabulary_files(None, None))
+    assert both._ranked is not None
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()
+    odd = [t for _, t in ALIGNED_TEXTS] + ["a\u0085b c 　d  \x1c\x1f e​ ", "x" * 5000 + " y", "½Ⅷ٣ 'll'LL ''s"]
+    for text in [r["text"] for r in docs] + odd:
+        text = " " + (text or "")
+        assert both._encode_bytes(text) == both._bytes.encode(text, add_special_tokens=False).ids
