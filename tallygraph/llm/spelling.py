@@ -1,11 +1,11 @@
 """Spelling variants of words, by PartEnum signatures of their letter multisets.
 
 A word is the binary vector of its letters, the second "e" being another dimension than the first.
-Words that differ by one inserted, deleted or replaced character differ in at most two dimensions.
-The dimensions are dealt out to parts; whichever two parts hold the differences, all others agree,
-so near words share the signature of some choice of parts left out. Words of one signature are
-joined and verified in the join. Signatures that many words share are refined by those of a second
-partition, on which near words must agree somewhere as well, so no near pair is lost.
+Words with one character replaced differ in two dimensions, words with one inserted or deleted in
+one. The dimensions are dealt out to parts; whichever two parts (or one) hold the differences, all
+others agree, so near words share the signature of some choice of parts left out. Words of one
+signature are joined and verified in the join. Signatures that many words share are split by the
+half of the word that one edit leaves whole, its beginning or its end, so no near pair is lost.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from itertools import combinations
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallygraph.llm.text import slices
@@ -27,10 +27,12 @@ from tallygraph.storage import materialize
 
 MIN_CHARS = 5
 MIN_COUNT = 3
-PARTS = 7  # of the dimensions; all choices of two of them are left out in turn
-CROWDED = 64  # words of one signature from which on it is refined; changes the plan, not the rows
+PARTS = {2: 5, 1: 3}  # of the dimensions, by how many of the parts are left out in turn
+CROWDED = 64  # words of one signature from which on it is split; changes the plan, not the rows
 HELD_WORDS = 200_000  # different words a task counts at a time
 TYPOS = 97
+_SAME, _SHORTER, _LONGER = range(3)
+_ROLES = ((_SAME, "two"), (_SHORTER, "one"), (_LONGER, "one"))
 _RUN = re.compile("[a-zÀ-ÿ]+")
 
 
@@ -67,67 +69,70 @@ def count_words(docs: DataFrame, key: str, text: str, typos: int = TYPOS) -> Dat
     return rows.mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _dealt(word: str, place) -> list[str]:
-    """The letters of each part, in order; the occurrences of a letter are dimensions of their own."""
-    parts = [""] * PARTS
+def signatures(word: str, left_out: int) -> list[int]:
+    """One 64-bit signature for each choice of ``left_out`` parts.
+
+    The occurrences of a letter are dimensions of their own; each part holds its letters in order.
+    """
+    count = PARTS[left_out]
+    parts = [""] * count
     seen: Counter[str] = Counter()
     for letter in sorted(word):
-        parts[place(ord(letter), seen[letter]) % PARTS] += letter
+        parts[(ord(letter) + 3 * seen[letter]) % count] += letter
         seen[letter] += 1
-    return parts
-
-
-def signatures(word: str, second: bool = False) -> list[int]:
-    """One 64-bit signature for each choice of two parts left out."""
-    if second:
-        parts = _dealt(word, lambda letter, occurrence: zlib.crc32(b"%d %d" % (letter, occurrence)))
-    else:
-        parts = _dealt(word, lambda letter, occurrence: letter + 3 * occurrence)
     return [
         xxhash.xxh3_64_intdigest("\0".join(map(parts.__getitem__, chosen)), seed=number) - (1 << 63)
-        for number, chosen in enumerate(combinations(range(PARTS), PARTS - 2))
+        for number, chosen in enumerate(combinations(range(count), count - left_out))
     ]
 
 
 def _signed(words: DataFrame) -> DataFrame:
-    """Words beside their signatures in both partitions."""
+    """Words beside their signatures for two differences and for one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("word").to_pylist()
-            both = [pa.array([signatures(w, s) for w in texts], pa.list_(pa.int64())) for s in (False, True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *both], names=["word", "n", "first", "second"])
+            both = [pa.array([signatures(w, k) for w in texts], pa.list_(pa.int64())) for k in (2, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column("word"), *both], names=["word", "two", "one"])
 
-    return words.mapInArrow(run, "word string, n bigint, first array<bigint>, second array<bigint>")
+    return words.select("word").mapInArrow(run, "word string, two array<bigint>, one array<bigint>")
 
 
 def near_words(words: DataFrame) -> DataFrame:
-    """``word, n, other, other_n`` for all pairs of ``words`` one edit apart, in both directions."""
-    signed = materialize(_signed(words), "spelling-signatures")
-    # A word meets words of its own length, and as the shorter one those one longer.
-    size = F.length("word")
-    meets = F.explode(F.array(F.struct(size.alias("size"), F.lit(False).alias("shorter")),
-                              F.struct((size + 1).alias("size"), F.lit(True).alias("shorter")))).alias("as")
-    first = signed.select("word", "n", F.explode("first").alias("signature"))
-    keyed = first.select("*", meets).select(
-        "word", "n", "as.shorter", F.xxhash64("signature", "as.size").alias("key")
+    """``word, other`` for all pairs of ``words`` one edit apart, in both directions."""
+    # A word meets words of its own length, and as the shorter or longer of two those of another.
+    meets = F.array(
+        *[F.struct(F.lit(r).cast("byte").alias("role"), F.col(s).alias("signatures")) for r, s in _ROLES]
     )
-    crowded = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("_held")).where(F.col("_held") > CROWDED).select("key")
-    crowded = materialize(crowded, "spelling-crowded")
-    finer = (
-        keyed.join(crowded, "key", "left_semi")
-        .join(signed.select("word", "second"), "word")
-        .select("word", "n", "shorter", "key", F.explode("second").alias("also"))
-        .select("word", "n", "shorter", F.xxhash64("key", "also").alias("key"))
+    size = F.length("word") - (F.col("role") == _LONGER).cast("int")  # of the shorter of two
+    keyed = (
+        _signed(words)
+        .select("word", F.explode(meets).alias("as"))
+        .select("word", "as.role", F.explode("as.signatures").alias("signature"))
+        .select("word", "role", F.xxhash64("signature", size, F.col("role") == _SAME).alias("key"))
     )
-    met = materialize(keyed.join(crowded, "key", "left_anti").unionByName(finer), "spelling-keys")
-    own = met.where("NOT shorter").select("key", "word", "n")
-    others = met.select("key", F.col("word").alias("other"), F.col("n").alias("other_n"), "shorter")
-    pairs = own.join(others, "key").where(
-        (F.col("shorter") | (F.col("word") < F.col("other"))) & (F.levenshtein("word", "other", 1) == 1)
+    # All that follows reads the one exchange by key.
+    held = F.count(F.lit(1)).over(Window.partitionBy("key"))
+    keyed = keyed.withColumn("held", held).where("held > 1")
+    half = F.floor(size / 2).cast("int")
+    halves = F.array(
+        F.xxhash64("key", F.lit("begins"), F.substring("word", F.lit(1), half)),
+        F.xxhash64("key", F.lit("ends"), F.substring("word", F.length("word") - size + half + 1, size - half)),
     )
-    pairs = materialize(pairs.select("word", "n", "other", "other_n").distinct(), "spelling-pairs")
-    return pairs.unionByName(pairs.toDF("other", "other_n", "word", "n"))
+
+    def met(rows: DataFrame) -> DataFrame:
+        a, b = rows.alias("a"), rows.alias("b").hint("merge")
+        one_way = (F.col("a.role") == _SAME) & (F.col("a.word") < F.col("b.word"))
+        one_way |= (F.col("a.role") == _SHORTER) & (F.col("b.role") == _LONGER)
+        pairs = a.join(b, F.col("a.key") == F.col("b.key")).where(
+            one_way & (F.levenshtein("a.word", "b.word", 1) == 1)
+        )
+        return pairs.select(F.col("a.word").alias("word"), F.col("b.word").alias("other"))
+
+    calm = keyed.where(F.col("held") <= CROWDED).select("key", "word", "role")
+    crowded = keyed.where(F.col("held") > CROWDED).select(F.explode(halves).alias("key"), "word", "role")
+    pairs = materialize(met(calm).unionByName(met(crowded)).distinct(), "spelling-pairs")
+    return pairs.unionByName(pairs.toDF("other", "word"))
 
 
 def _roots(forms: DataFrame) -> DataFrame:
@@ -156,10 +161,12 @@ def group_spellings(words: DataFrame, word: str = "word", n: str = "n") -> DataF
     """
     words = words.where(F.col(word).isNotNull()).groupBy(F.col(word).alias("word"))
     words = materialize(words.agg(F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias("n")), "spelling-words")
-    near = near_words(words).groupBy("word", "n").agg(
+    counts = words.toDF("other", "other_n")
+    near = near_words(words).join(counts, "other").groupBy("word").agg(
         F.count(F.lit(1)).alias("n_near"),
         F.min(F.struct((-F.col("other_n")).alias("least"), F.col("other").alias("form"))).alias("best"),
     )
+    near = near.join(words, "word")
     form_n = -F.col("best.least")
     formed = form_n >= 2 * F.col("n")
     near = materialize(
