@@ -1,8 +1,9 @@
 """Alignment of two tokenizers: groups of tokens that cover the same bytes, and links inside them.
 
 The ends of the tokens of both are dictionaries from byte offset to place; the offsets in both cut
-the token lists into groups, and the tokens of a group whose bytes overlap are linked. Links are
-counted over the whole corpus. Documents travel as blocks: a block holds its different links once
+the token lists into groups, and the tokens of a group whose bytes overlap are linked. No token of
+either side spans the place between a word and a following space, so texts are cut there and equal
+pieces are aligned once. Links are counted over the whole corpus. Documents travel as blocks: a block holds its different links once
 and its documents' links as numbers of them, so a link that every document has is looked up once
 for every block.
 """
@@ -15,7 +16,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import public_tokenizers
@@ -32,7 +33,10 @@ BYTE_VOCABULARY = "byte_bpe_50k.json"
 PIECE_VOCABULARY = "piece_bpe_32k.model"
 SLICE_BYTES = 1 << 20  # text encoded at once
 BLOCK_BYTES = 8 << 20  # text of a block; one longer document is one block
+CACHED_CHUNKS = 200_000  # aligned pieces of text a Python worker remembers; beyond that it starts anew
 _LOW = (1 << 32) - 1
+Aligned = tuple[int, int, int, str, list[int]]
+_WORD_END = re.compile(r"(?<=\S)(?= )")
 _LONG_WORD = re.compile(r"\S{1000}|\s{1000}")
 
 
@@ -84,25 +88,47 @@ class Tokenizers:
             else sp.id_to_piece(i).replace("▁", " ").encode()
             for i in range(sp.get_piece_size())
         ]
+        self._cuts = not any("▁" in sp.id_to_piece(i).lstrip("▁") for i in range(sp.get_piece_size()))
         self.a_size, self.b_size = (list(map(len, x)) for x in (self.a_bytes, self.b_bytes))
         self.a_text, self.b_text = (list(map(str, range(len(x)))) for x in (self.a_bytes, self.b_bytes))
-
-    def _encode_bytes(self, text: str) -> list[int]:
-        if self._ranked is None or _LONG_WORD.search(text):
-            return self._bytes.encode(text, add_special_tokens=False).ids
-        return self._ranked.encode_ordinary(text)
-
-    def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        """Ids of both; none where either does not give back the bytes of the text."""
-        for text, b in zip(texts, self._pieces.encode(texts, num_threads=1)):
-            raw = b" " + text.encode()
-            a = self._encode_bytes(" " + text)
-            whole = (
-                text
-                and b"".join(map(self.a_bytes.__getitem__, a)) == raw
-                and b"".join(map(self.b_bytes.__getitem__, b)) == raw
+        self._known: dict[str, Aligned | None] = {}
+
+    def chunks(self, text: str) -> list[str]:
+        """A space and the text, cut after words; each piece starts with a space."""
+        return _WORD_END.split(f" {text}") if self._cuts else [f" {text}"]
+
+    def encode(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of both. B puts a space before what it is given, also where that is the whole chunk."""
+        a = [
+            self._bytes.encode(chunk, add_special_tokens=False).ids
+            if self._ranked is None or _LONG_WORD.search(chunk)
+            else self._ranked.encode_ordinary(chunk)
+            for chunk in chunks
+        ]
+        space = self._pieces.piece_to_id("▁")
+        return a, [ids or [space] for ids in self._pieces.encode([c[1:] for c in chunks], num_threads=1)]
+
+    def aligned(self, texts: list[str]) -> Iterator[Aligned]:
+        """Alignment of whole texts; none where either side does not give back the bytes of the text."""
+        cut = [self.chunks(t) for t in texts]
+        new = list({c for chunks in cut for c in chunks if c not in self._known})
+        if len(self._known) + len(new) > CACHED_CHUNKS:
+            self._known.clear()
+            new = list({c for chunks in cut for c in chunks})
+        for chunk, a, b in zip(new, *self.encode(new)):
+            raw = chunk.encode()
+            whole = all(
+                b"".join(map(tokens.__getitem__, ids)) == raw
+                for tokens, ids in ((self.a_bytes, a), (self.b_bytes, b))
             )
-            yield (a, b) if whole else ([], [])
+            self._known[chunk] = align(a, b, self) if whole else None
+        for text, chunks in zip(texts, cut):
+            found = list(map(self._known.__getitem__, chunks))
+            if not text or None in found:
+                yield 0, 0, 0, "", []
+            else:
+                n_a, n_b, n_groups, parts, links = zip(*found)
+                yield sum(n_a), sum(n_b), sum(n_groups), ";".join(parts), list(chain.from_iterable(links))
 
 
 @lru_cache(maxsize=1)
@@ -110,31 +136,23 @@ def _loaded(byte_file: bytes, piece_file: bytes) -> Tokenizers:
     return Tokenizers(byte_file, piece_file)
 
 
-def aligned(a: list[int], b: list[int], both: Tokenizers) -> tuple[int, str, list[int]]:
-    """Number of groups, digest of them, and all links ``A id << 32 | B id``."""
+def align(a: list[int], b: list[int], both: Tokenizers) -> Aligned:
+    """Numbers of tokens and groups, the groups as text, and all links ``A id << 32 | B id``."""
     a_ends = list(accumulate(map(both.a_size.__getitem__, a)))
     b_ends = list(accumulate(map(both.b_size.__getitem__, b)))
     a_place = dict(zip(a_ends, range(1, len(a) + 1)))  # from each end to the tokens up to it
     b_place = dict(zip(b_ends, range(1, len(b) + 1)))
     common = sorted(a_place.keys() & b_place.keys())
-    a_text, b_text = both.a_text, both.b_text
     links, text = [], []
     i = j = 0
     for i_end, j_end in zip(map(a_place.__getitem__, common), map(b_place.__getitem__, common)):
-        x, y = a[i], b[j]
-        links.append(x << 32 | y)
-        if i_end - i == 1 and j_end - j == 1:
-            text.append(f"{a_text[x]}|{b_text[y]}")
-        else:
-            text.append(f"{','.join(map(str, a[i:i_end]))}|{','.join(map(str, b[j:j_end]))}")
-            while True:  # of two linked tokens, the one that ends first has met all it overlaps
-                step = a_ends[i] - b_ends[j]
-                i, j = i + (step <= 0), j + (step >= 0)
-                if i == i_end:
-                    break
-                links.append(a[i] << 32 | b[j])
-        i, j = i_end, j_end
-    return len(common), sha256(";".join(text).encode()).hexdigest(), links
+        own = ",".join(map(both.a_text.__getitem__, a[i:i_end]))
+        text.append(f"{own}|{','.join(map(both.b_text.__getitem__, b[j:j_end]))}")
+        while i < i_end:  # of two linked tokens, the one that ends first has met all it overlaps
+            links.append(a[i] << 32 | b[j])
+            step = a_ends[i] - b_ends[j]
+            i, j = i + (step <= 0), j + (step >= 0)
+    return len(a), len(b), len(common), ";".join(text), links
 
 
 def _packed(numbers: np.ndarray, sizes: np.ndarray) -> bytes:
@@ -191,9 +209,8 @@ def _blocks(docs: DataFrame, key: str, text: str, files: tuple[bytes, bytes], bl
             if held and held + size > block_bytes:
                 yield block(keys, found, links, key_type)
                 keys, found, links, held = [], [], [], 0
-            for a, b in both.encode(texts):
-                n, sha, own = aligned(a, b, both) if a else (0, "", [])
-                found.append((len(a), len(b), n, len(own), sha))
+            for n_a, n_b, n, groups, own in both.aligned(texts):
+                found.append((n_a, n_b, n, len(own), sha256(groups.encode()).hexdigest() if n else ""))
                 links.append(np.array(own, np.int64))
             keys += batch.column("key").to_pylist()
             held += size

@@ -256,7 +256,11 @@ def test_alignment_query_against_all_pairs(spark):
     folder = "/root/testdata/sf0.001"
     both = token_alignment.Tokenizers(*token_alignment._vocabulary_files(None, None))
     rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
-    encoded = {key: next(both.encode([text or ""])) for key, text in rows}
+    encoded = {}
+    for key, text in rows:
+        encoded[key] = (
+            both._bytes.encode(" " + text, add_special_tokens=False).ids, both._pieces.encode(text)
+        )
     links, counts, best = {}, Counter(), Counter()
     for key, (a, b) in encoded.items():
         # The token of each byte on both sides; every pair that meets at some byte is one link.
@@ -271,12 +275,22 @@ def test_alignment_query_against_all_pairs(spark):
         assert r["n_best"] == sum(counts[x] == best[x[1]] for x in own)
 
 
-def test_ranks_encode_like_the_library(spark):
+def test_chunks_encode_like_whole_texts(spark):
     """Over whole texts of the table, and over texts of odd white space and long words."""
     both = token_alignment.Tokenizers(*token_alignment._vocabulary_files(None, None))
-    assert both._ranked is not None
+    assert both._ranked is not None and both._cuts
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()
-    odd = [t for _, t in ALIGNED_TEXTS] + ["a\u0085b c 　d  \x1c\x1f e​ ", "x" * 5000 + " y", "½Ⅷ٣ 'll'LL ''s"]
-    for text in [r["text"] for r in docs] + odd:
-        text = " " + (text or "")
-        assert both._encode_bytes(text) == both._bytes.encode(text, add_special_tokens=False).ids
+    odd = ["a\u0085b c \u3000d  \x1c \x1f e\u200b ", "x" * 5000 + " y", "½Ⅷ٣ 'll'LL ''s", "\n \n  a \t b\n\n", "a  ", "   "]
+    for text in [r["text"] for r in docs] + [t for _, t in ALIGNED_TEXTS] + odd:
+        if text:
+            a, b = (sum(x, []) for x in both.encode(both.chunks(text)))
+            assert a == both._bytes.encode(" " + text, add_special_tokens=False).ids
+            assert b == both._pieces.encode(text)
+
+
+def test_alignment_starts_its_memory_anew(spark, monkeypatch):
+    monkeypatch.setattr(token_alignment, "CACHED_CHUNKS", 3)
+    both = token_alignment.Tokenizers(*token_alignment._vocabulary_files(None, None))
+    texts = ["the cat sat", "a dog", "the cat", "the hat and the mat"]
+    one_by_one = [next(both.aligned([t])) for t in texts]
+    assert one_by_one == list(both.aligned(texts)) and len(both._known) <= 8
