@@ -1,11 +1,17 @@
-"""Labelled texts for fitting a model on the driver."""
+"""Labelled texts for fitting a model, on the driver or in one task."""
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterator
+from typing import TypeVar
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
 SAMPLE_DOCS = 3_000  # labelled documents of each class a model is fitted on, at most
 SAMPLE_CHARS = 8_000  # longer documents are scored like any other, but not fitted on
 
@@ -15,7 +21,7 @@ def remainder(key: Column, folds: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % folds
 
 
-def sample(
+def sample_rows(
     docs: DataFrame,
     labels: DataFrame,
     label: str,
@@ -24,8 +30,8 @@ def sample(
     text: str = "text",
     per_class: int = SAMPLE_DOCS,
     max_chars: int = SAMPLE_CHARS,
-) -> tuple[list[str], np.ndarray]:
-    """Texts and 0/1 labels of at most ``per_class`` documents a class, picked by hash of the key.
+) -> DataFrame:
+    """``key, text, _label`` of at most ``per_class`` documents a class, picked by hash of the key.
 
     ``usable`` is a condition on the labels table. Of several labels of a key the greatest counts;
     null labels and texts are left out. The chosen keys are bounded, so they may be broadcast.
@@ -35,12 +41,30 @@ def sample(
     for value in (0, 1):
         part = known.where(F.col("_label") == value).orderBy(F.xxhash64(key), key).limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
-    rows = (
+    return (
         docs.select(key, text)
         .where(F.length(text) <= max_chars)
         .join(F.broadcast(chosen), key)
         .select(key, text, F.col("_label").cast("int").alias("_label"))
-        .collect()
     )
-    rows.sort(key=lambda r: (r[0], r[1]))
+
+
+def sample(docs: DataFrame, labels: DataFrame, label: str, usable: Column, **how) -> tuple[list[str], np.ndarray]:
+    """Texts and 0/1 labels of :func:`sample_rows`, on the driver."""
+    rows = sorted(sample_rows(docs, labels, label, usable, **how).collect(), key=lambda r: (r[0], r[1]))
     return [r[1] for r in rows], np.array([r[2] for r in rows], np.int64)
+
+
+def fit_in_task(rows: DataFrame, fit: Callable[[list[str], np.ndarray], T]) -> T:
+    """``fit(texts, labels)`` of sampled rows, in one task; only the plain values it returns come back."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = []
+        for batch in batches:
+            found += zip(*(c.to_pylist() for c in batch.columns))
+        found.sort()
+        model = fit([r[1] for r in found], np.array([r[2] for r in found], np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    fitted = rows.repartition(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(fitted[0]) if fitted else fit([], np.zeros(0, np.int64))

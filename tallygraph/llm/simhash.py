@@ -274,15 +274,17 @@ def near_components(
     text: str = "text",
     shingle: int = SHINGLE,
     max_bits: int = MAX_BITS,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Fingerprint and component of every document: ``key, fingerprint, component_id``.
 
     Documents are linked when their fingerprints differ in at most ``max_bits`` bits; a component
     is named by its smallest key (nulls are never smallest; a component of null keys only has
     none). Equal fingerprints are one row before anything is joined, so copies cost nothing; all
-    documents without words share fingerprint zero. Every input row gives one row.
+    documents without words share fingerprint zero. Every input row gives one row; columns named in
+    ``carry`` stay beside the result.
     """
-    prints = materialize(fingerprints(docs.select(key, text), text, shingle).drop(text), "fingerprints")
+    prints = materialize(fingerprints(docs.select(key, text, *carry), text, shingle).drop(text), "fingerprints")
     distinct = prints.groupBy(F.col("fingerprint").alias("id")).agg(F.min(key).alias("_least"))
     distinct = materialize(distinct, "distinct-fingerprints")
     links = materialize(near_links(distinct.select("id"), max_bits), "fingerprint-links")
@@ -292,7 +294,7 @@ def near_components(
     named = named.select("id", "component").join(least, "component").select(
         F.col("id").alias("fingerprint"), "component_id"
     )
-    return prints.join(named, "fingerprint").select(key, "fingerprint", "component_id")
+    return prints.join(named, "fingerprint").select(key, "fingerprint", "component_id", *carry)
 
 
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:

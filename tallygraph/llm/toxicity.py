@@ -4,10 +4,11 @@ The kernel of two strings counts the subsequences of three characters they share
 down by the gaps it spans, so an insult with a character put in or left out stays close to itself.
 Normalised and taken to the fourth power (which is a kernel again), it is compared with the
 stretches of words about as long as a landmark. Words are read without what is no letter in them
-and spelled-out words as one, and a landmark with up to two letters put in stays close. The most
-toxic word of a text counts. Landmarks are word beginnings that tell toxic training documents from clean ones;
-the Nystroem map through them makes the kernel machine a linear one, trained on labelled sentences.
-A document scores as its most toxic sentence does.
+and spelled-out words as one, and a landmark with up to two letters put in stays close. Landmarks
+are word beginnings that tell toxic training documents from clean ones; the Nystroem map through
+them makes the kernel machine a linear one. It is trained on sentences: all of clean documents, and
+of each toxic document the one that the machine so far calls worst. A document scores as its worst
+sentence does.
 """
 
 from __future__ import annotations
@@ -20,11 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygraph.llm.labelled import remainder, sample
+from tallygraph.llm.labelled import fit_in_task, remainder, sample_rows
 from tallygraph.llm.text import SPACE, byte_prefix, joined, slices, span_hash, words
 from tallygraph.session import table
 
 LANDMARKS = 200
+LEAST = 10  # landmarks, where too few texts are labelled for any to be significant
+RATIO = 30  # how much commoner in toxic than in clean texts a landmark must be
+ROUNDS = 3  # in which the worst sentences are chosen anew
 ALIKE = 100  # clean words taken as landmarks beside them
 SHORTEST, LONGEST = 4, 12  # bytes of a landmark
 DECAY = 0.5
@@ -100,15 +104,15 @@ def put_in(text: bytes, mark: bytes) -> int | None:
     return count
 
 
-def _spelled(data: np.ndarray, start: np.ndarray, end: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, ...]:
+def _spelled(data: np.ndarray, start: np.ndarray, end: np.ndarray, doc: np.ndarray, *more: np.ndarray):
     """Words that lie on end, runs of one-letter words of a document made one word."""
     if not len(start):
-        return start, end, doc
+        return start, end, doc, *more
     size = end - start
     one = (size == 1) | ((size == 2) & (data[start] >= 0xC0))
     head = np.concatenate(([True], ~(one[1:] & one[:-1] & (doc[1:] == doc[:-1]))))
     head = np.flatnonzero(head)
-    return start[head], end[np.append(head[1:], len(start)) - 1], doc[head]
+    return start[head], end[np.append(head[1:], len(start)) - 1], doc[head], *(x[head] for x in more)
 
 
 class Landmarks:
@@ -211,21 +215,24 @@ class Landmarks:
         close = values >= CLOSE
         return word[close], mark[close], values[close] ** POWER
 
-    def words_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
-        """Documents and word numbers of all words close to a landmark, the words and their kernels."""
+    def words_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+        """Documents, sentences and numbers of all words close to a landmark, the words, their kernels."""
         data, bounds = joined(texts)
         data = lowered(data)
         start, end, doc = words(data, bounds, SPACE)
-        none = np.zeros(0, np.int64), np.zeros(0, np.int64), [], np.zeros((0, len(self.strings)))
+        none = np.zeros(0, np.int64)
+        none = none, none, none, [], np.zeros((0, len(self.strings)))
         if not len(start):
             return none
+        # A sentence ends with its document, too.
+        sentence = np.concatenate(([0], np.cumsum(_SENTENCE_END[data])))[start] + doc
         # Leave out what is no letter, within words as well.
         letter = _LETTER[data]
         before = np.concatenate(([0], np.cumsum(letter)))
         data = data[letter]
         start, end = before[start], before[end]
         use = end > start
-        start, end, doc = _spelled(data, start[use], end[use], doc[use])
+        start, end, doc, sentence = _spelled(data, start[use], end[use], doc[use], sentence[use])
         if not len(start):
             return none
         content = span_hash(byte_prefix(data), start, end)
@@ -241,46 +248,74 @@ class Landmarks:
         where = np.flatnonzero(row_of[inverse] >= 0)
         whole = data.tobytes()
         spans = zip(start[chosen[hit]].tolist(), end[chosen[hit]].tolist())
-        return doc[where], row_of[inverse[where]], [whole[a:b] for a, b in spans], rows
+        return doc[where], sentence[where], row_of[inverse[where]], [whole[a:b] for a, b in spans], rows
+
+
+    def sentences(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Document and closest kernels of every sentence with a word close to a landmark."""
+        doc, sentence, number, _, kernel = self.words_of(texts)
+        if not len(doc):
+            return doc, np.zeros((0, len(self.strings)))
+        first = np.flatnonzero(np.concatenate(([True], sentence[1:] != sentence[:-1])))
+        return doc[first], np.maximum.reduceat(kernel[number], first, axis=0)
 
 
 def _beginnings(found: set[bytes]) -> set[bytes]:
-    return {w[:n] for w in found for n in range(SHORTEST, min(len(w), LONGEST) + 1)}
+    """Beginnings of whole characters."""
+    return {
+        w[:n]
+        for w in found
+        for n in range(SHORTEST, min(len(w), LONGEST) + 1)
+        if n == len(w) or not 0x80 <= w[n] < 0xC0
+    }
+
+
+def _long_words(text: str) -> set[bytes]:
+    data = lowered(np.frombuffer(text.encode(), np.uint8))
+    start, end, _ = words(data, np.array([0, len(data)]), ~_LETTER)
+    whole = data.tobytes()
+    return {whole[a:b] for a, b in zip(start.tolist(), end.tolist()) if b - a >= SHORTEST}
+
+
+def _evidence(bad: int, fine: int, n_toxic: int, n_clean: int) -> float:
+    """G statistic of a string in ``bad`` toxic and ``fine`` clean texts."""
+    n, held = n_toxic + n_clean, bad + fine
+    cells = ((bad, n_toxic, held), (fine, n_clean, held), (n_toxic - bad, n_toxic, n - held), (n_clean - fine, n_clean, n - held))
+    return 2 * sum(x * np.log(x * n / (row * column)) for x, row, column in cells if x)
 
 
 def choose_landmarks(texts: list[str], labels: np.ndarray, limit: int = LANDMARKS) -> list[bytes]:
-    """The commonest word beginnings and words of toxic texts that hardly occur in clean ones."""
-    own: list[set[bytes]] = []  # words, not their beginnings: those would fill the driver
-    known: dict[bytes, bytes] = {}  # one object for each word
-    toxic: Counter = Counter()
+    """Word beginnings and words of toxic texts that hardly occur in clean ones, the surest first.
+
+    A string must be ``RATIO`` times commoner in toxic texts, and so much so that less than one in
+    all candidates would be by chance; the best ``LEAST`` need not be as sure.
+    """
+    common: Counter = Counter()
+    for i in np.flatnonzero(labels):
+        common.update(_long_words(texts[i]))
+    candidates = _beginnings({w for w, n in common.items() if n > 1})
+    del common
+    bad, fine = Counter(), Counter()
     for text, label in zip(texts, labels.tolist()):
-        data = lowered(np.frombuffer(text.encode(), np.uint8))
-        start, end, _ = words(data, np.array([0, len(data)]), ~_LETTER)
-        whole = data.tobytes()
-        found = {whole[a:b] for a, b in zip(start.tolist(), end.tolist()) if b - a >= SHORTEST}
-        own.append({known.setdefault(w, w) for w in found})
-        if label:
-            toxic.update(_beginnings(own[-1]))
-    good = {s for s, n in toxic.items() if n >= max(4, int(labels.sum()) // 40)}
-    # Each half of the texts must tell the same story: twice in toxic ones, and 30 times as often
-    # as in clean ones. What holds in one half by chance does not in the other.
-    # Toxic and clean texts are halved apart, so that no order of the rows empties a half.
-    for half in (0, 1):
-        rows = [i for label in (1, 0) for i in np.flatnonzero((labels > 0) == label)[half::2].tolist()]
-        part, sign = [own[i] for i in rows], labels[rows].tolist()
-        n_toxic = max(1, sum(sign))
-        n_clean = max(1, len(sign) - sum(sign))
-        bad, fine = Counter(), Counter()
-        for found, label in zip(part, sign):
-            (bad if label else fine).update(_beginnings(found) & good)
-        good = {s for s in good if bad[s] >= 2 and bad[s] * n_clean > 30 * fine[s] * n_toxic}
+        (bad if label else fine).update(_beginnings(_long_words(text)) & candidates)
+    n_toxic = max(1, int(labels.sum()))
+    n_clean = max(1, len(labels) - n_toxic)
+    good = {
+        s: _evidence(n, fine[s], n_toxic, n_clean)
+        for s, n in bad.items()
+        if n > 1 and n * n_clean > RATIO * fine[s] * n_toxic
+    }
+    sure = 2 * np.log(max(2, len(candidates)))
     chosen: list[bytes] = []
     while good and len(chosen) < limit:
-        top = max(toxic[s] for s in good)
+        top = max(good, key=lambda s: (good[s], s))
+        if good[top] <= sure and len(chosen) >= LEAST:
+            break
         # Of strings nearly as frequent as the first, the longest says most.
-        best = max((s for s in good if toxic[s] >= 0.9 * top), key=lambda s: (len(s), toxic[s], s))
+        kin = [s for s in good if (s.startswith(top) or top.startswith(s)) and bad[s] >= 0.9 * bad[top]]
+        best = max(kin, key=lambda s: (len(s), good[s], s))
         chosen.append(best)
-        good = {s for s in good if not s.startswith(best) and not best.startswith(s)}
+        good = {s: g for s, g in good.items() if not s.startswith(best) and not best.startswith(s)}
     return chosen
 
 
@@ -290,11 +325,19 @@ class Model:
     def __init__(self, marks: Landmarks, weights: np.ndarray, bias: float, slope: float, shift: float):
         self.marks, self.weights, self.bias, self.slope, self.shift = marks, weights, bias, slope, shift
 
+    def state(self) -> tuple:
+        """The model as plain values, for :meth:`of`."""
+        return self.marks.strings, self.marks.inside, self.weights, self.bias, self.slope, self.shift
+
+    @classmethod
+    def of(cls, state: tuple) -> Model:
+        return cls(Landmarks(*state[:2]), *state[2:])
+
     def scores(self, texts: pa.Array) -> np.ndarray:
         margin = np.full(len(texts), self.bias)
         if self.marks.strings:
-            doc, word, _, kernel = self.marks.words_of(texts)
-            np.maximum.at(margin, doc, (kernel @ self.weights + self.bias)[word])
+            doc, kernel = self.marks.sentences(texts)
+            np.maximum.at(margin, doc, kernel @ self.weights + self.bias)
         return 1.0 / (1.0 + np.exp(-np.clip(self.slope * margin + self.shift, -30, 30)))
 
 
@@ -313,32 +356,40 @@ def _svm(rows: np.ndarray, signs: np.ndarray, cost: np.ndarray, rounds: int = 20
     return w[:-1], float(w[-1])
 
 
-def _instances(marks: Landmarks, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
-    """:meth:`Landmarks.words_of` for all training texts, each word once."""
-    docs, numbers, rows, known = [], [], [], {}
+def _pieces(texts: list[str]) -> Iterator[tuple[int, pa.Array]]:
+    """Slices of the training texts, and how many come before."""
     base = 0
     for piece in slices(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])])):
-        doc, word, names, kernel = marks.words_of(piece.column("text"))
-        own = []
-        for name, row in zip(names, kernel):
-            if name not in known:
-                known[name] = len(rows)
-                rows.append(row)
-            own.append(known[name])
-        docs.append(doc + base)
-        numbers.append(np.array(own, np.int64)[word])
+        yield base, piece.column("text")
         base += piece.num_rows
-    kernel = np.array(rows).reshape(len(rows), len(marks.strings))
-    pairs = np.unique(np.stack((np.concatenate(docs), np.concatenate(numbers))), axis=1)
-    return pairs[0], pairs[1], list(known), kernel
+
+
+def _alike(strings: list[bytes], clean: list[str]) -> tuple[list[bytes], np.ndarray]:
+    """Clean words that resemble a landmark, and how many clean words hold each landmark inside."""
+    marks = Landmarks(strings)
+    seen: Counter = Counter()
+    closest: dict[bytes, float] = {}
+    held = np.zeros(len(strings), np.int64)
+    for _, piece in _pieces(clean):
+        _, _, number, names, kernel = marks.words_of(piece)
+        counts = np.bincount(number, minlength=len(names)).tolist()
+        for name, row, count in zip(names, kernel, counts):
+            for m in np.flatnonzero(row >= 0.999).tolist():
+                held[m] += 0 if name.startswith(strings[m]) else count
+            if len(name) >= SHORTEST and not name.startswith(tuple(strings)):
+                seen[name] += count
+                closest[name] = float(row.max())
+    found = sorted(seen, key=lambda w: (-seen[w] * closest[w], w))[:ALIKE]
+    return [max(_beginnings({w}), key=len) for w in found if _beginnings({w})], held
 
 
 def fit(texts: list[str], labels: np.ndarray) -> Model:
-    """Train on labelled texts; the words of a sentence are its instances.
+    """Train on labelled texts; their sentences are the instances.
 
-    Words of clean sentences are negative, words of toxic ones that equal a landmark positive.
-    Clean words that resemble an insult become landmarks as well, so that the machine can tell the
-    two apart. Without both classes every text scores the share of toxic ones.
+    All sentences of clean texts are negative; the sentence of a toxic text that is closest to a
+    landmark, then the one the machine so far calls worst, is positive. Clean words that resemble
+    an insult become landmarks as well, so that the machine can tell the two apart. Without both
+    classes every text scores the share of toxic ones.
     """
     share = float(labels.mean()) if len(labels) else 0.0
     strings = choose_landmarks(texts, labels) if 0 < labels.sum() < len(labels) else []
@@ -346,37 +397,39 @@ def fit(texts: list[str], labels: np.ndarray) -> Model:
         prior = min(max(share, 1e-6), 1 - 1e-6)
         return Model(Landmarks([]), np.zeros(0), 0.0, 1.0, float(np.log(prior / (1 - prior))))
     insults = len(strings)
-    doc, word, names, kernel = _instances(Landmarks(strings), texts)
-    alike = Counter(word[labels[doc] == 0].tolist())
-    # What clean words hold inside says something at the beginning of a word only.
-    inner = np.array([[not w.startswith(s) for s in strings] for w in names]).reshape(kernel.shape) & (kernel >= 0.999)
-    held = np.array([alike[n] for n in range(len(names))]) @ inner
-    alike = {n: c for n, c in alike.items() if not names[n].startswith(tuple(strings)) and len(names[n]) >= SHORTEST}
-    strings += [names[n][:LONGEST] for n in sorted(alike, key=lambda n: (-alike[n] * kernel[n].max(), names[n]))[:ALIKE]]
-    strings = list(dict.fromkeys(strings))
-    # Clean words are landmarks for words that begin as they do.
+    alike, held = _alike(strings, [t for t, label in zip(texts, labels) if not label])
+    strings = list(dict.fromkeys([*strings, *alike]))
+    # Clean words are landmarks for words that begin as they do. What clean words hold inside says
+    # something at the beginning of a word only.
     marks = Landmarks(strings, np.append(held < 2, np.zeros(len(strings) - insults, bool)))
-    doc, word, names, kernel = _instances(marks, texts)
+    docs, rows = [np.zeros(0, np.int64)], [np.zeros((0, len(strings)), np.float32)]
+    for base, piece in _pieces(texts):
+        doc, kernel = marks.sentences(piece)
+        docs.append(doc + base)
+        rows.append(kernel.astype(np.float32))
+    doc, kernel = np.concatenate(docs), np.concatenate(rows)
     # Nystroem: features = kernel to the landmarks times the inverse root of theirs.
     n = len(strings)
-    pairs = [(a, b) for a in strings for b in strings]
-    between = (normalised_kernel([a for a, _ in pairs], [b for _, b in pairs]) ** POWER).reshape(n, n)
+    between = np.array([normalised_kernel([s] * n, strings) for s in strings]) ** POWER
     values, vectors = np.linalg.eigh((between + between.T) / 2)
     root = vectors @ np.diag(1.0 / np.sqrt(np.maximum(values, 1e-2))) @ vectors.T
-    toxic = np.bincount(word[labels[doc] == 1], minlength=len(names))
-    clean = np.bincount(word[labels[doc] == 0], minlength=len(names))
-    exact = kernel[:, :insults].max(axis=1) >= 0.999
-    positive, negative = np.flatnonzero(exact & (toxic > 0)), np.flatnonzero(clean > 0)
-    x = np.concatenate((kernel[positive] @ root, kernel[negative] @ root, np.zeros((1, n))))
-    signs = np.repeat([1.0, -1.0], [len(positive), len(negative) + 1])
-    # The last row stands for all words that resemble no landmark.
-    cost = np.concatenate((toxic[positive], clean[negative], [int((labels == 0).sum())])).astype(np.float64)
-    weights, bias = _svm(x, signs, cost / cost.sum())
-    weights = root @ weights
+    x = kernel @ root
+    clean = np.flatnonzero(labels[doc] == 0)
+    toxic = np.flatnonzero(labels[doc] == 1)
+    worst = kernel[:, :insults].max(axis=1).astype(np.float64)
+    for _ in range(ROUNDS):
+        # The worst sentence of each toxic text; the last row stands for all that resemble nothing.
+        order = toxic[np.lexsort((-worst[toxic], doc[toxic]))]
+        chosen = order[np.concatenate(([True], doc[order[1:]] != doc[order[:-1]]))] if len(order) else order
+        instances = np.concatenate((x[chosen], x[clean], np.zeros((1, n))))
+        signs = np.repeat([1.0, -1.0], [len(chosen), len(clean) + 1])
+        cost = np.ones(len(signs))
+        cost[-1] = (labels == 0).sum()
+        weights, bias = _svm(instances, signs, cost / cost.sum())
+        worst = x @ weights + bias
     margin = np.full(len(texts), bias)
-    np.maximum.at(margin, doc, (kernel @ weights + bias)[word])
-    slope, shift = _probability(margin, labels)
-    return Model(marks, weights, bias, slope, shift)
+    np.maximum.at(margin, doc, worst)
+    return Model(marks, root @ weights, bias, *_probability(margin, labels))
 
 
 def _probability(margin: np.ndarray, labels: np.ndarray, rounds: int = 2000) -> tuple[float, float]:
@@ -410,8 +463,13 @@ def score_toxicity(docs: DataFrame, model: Model, text: str = "text", column: st
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """Model from the labelled rows outside of the held-out third."""
-    return fit(*sample(docs, labels, "toxic", remainder(F.col("doc_id"), 3) != 1))
+    """Model from the labelled rows outside of the held-out third, fitted in one task.
+
+    The sample is bounded (:mod:`tallygraph.llm.labelled`), so the task is, and the driver holds
+    nothing but the model.
+    """
+    rows = sample_rows(docs, labels, "toxic", remainder(F.col("doc_id"), 3) != 1)
+    return Model.of(fit_in_task(rows, lambda texts, labels: fit(texts, labels).state()))
 
 
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
