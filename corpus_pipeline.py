@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygraph.llm.byte_pairs import encode, token_count
+from tallygraph.llm.byte_pairs import decode, encode, token_count
 from tallygraph.llm.decontaminate import contamination, find_passages
 from tallygraph.llm.line_dedup import dedup_lines
 from tallygraph.llm.simhash import near_components
@@ -44,11 +44,14 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays: the one with the smallest id.
 
-    Documents without an id are never dropped; of rows that share the smallest id all stay.
+    Documents without an id are never dropped; of rows that share the smallest id all stay. Rows
+    are told apart by id and text, so a row that shares only its id with a copy stays.
     """
-    found = near_components(docs).select("doc_id", "component_id").distinct()
-    losers = found.where("doc_id != component_id").select("doc_id")
-    return docs.join(losers, "doc_id", "left_anti").select(*docs.columns)
+    row = F.xxhash64("doc_id", "text")
+    found = near_components(_aside(docs, "doc_id", "text").withColumn("_row", row), carry=("_row",))
+    losers = found.where("doc_id != component_id").select("_row").distinct()
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), row.alias("_row"))
+    return marked.join(losers, "_row", "left_anti").select("_doc.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,8 +61,17 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, packed as little-endian unsigned 32-bit integers."""
-    return encode(docs).withColumn("n_tokens", token_count())
+    """Token ids of every document and the digest of the text they decode to.
+
+    ``ids`` are packed as little-endian unsigned 32-bit integers; ``ids``, ``n_tokens`` and
+    ``decoded_sha256`` are replaced if present.
+    """
+    named = [c for c in docs.columns if c not in ("ids", "n_tokens", "decoded_sha256")]
+    encoded = decode(encode(_aside(docs.select(*[F.col(f"`{c}`") for c in named]), "text")), text="_decoded")
+    columns = [F.col("text") if c == "text" else F.col(f"_others.`{c}`").alias(c) for c in named]
+    return encoded.select(
+        *columns, "ids", token_count().alias("n_tokens"), F.sha2("_decoded", 256).alias("decoded_sha256")
+    )
 
 
 STAGES = [
