@@ -35,6 +35,7 @@ SLICE_BYTES = 1 << 20  # text encoded at once
 BLOCK_BYTES = 8 << 20  # text of a block; one longer document is one block
 CACHED_CHUNKS = 200_000  # aligned pieces of text a Python worker remembers; beyond that it starts anew
 _LOW = (1 << 32) - 1
+JOINT_CHUNKS = 500  # of them that are encoded at once
 Aligned = tuple[int, int, int, str, list[int]]
 _WORD_END = re.compile(r"(?<=\S)(?= )")
 _LONG_WORD = re.compile(r"\S{1000}|\s{1000}")
@@ -108,6 +109,27 @@ class Tokenizers:
         space = self._pieces.piece_to_id("▁")
         return a, [ids or [space] for ids in self._pieces.encode([c[1:] for c in chunks], num_threads=1)]
 
+    def _learn(self, chunks: list[str]) -> None:
+        """Align chunks, many in one piece; nothing may follow one that ends with white space."""
+        joint = [c for c in chunks if not c[-1:].isspace()]
+        pieces = [joint[i : i + JOINT_CHUNKS] for i in range(0, len(joint), JOINT_CHUNKS)]
+        pieces += [[c] for c in chunks if c[-1:].isspace()]
+        while pieces:
+            failed = []
+            for piece, a, b in zip(pieces, *self.encode(list(map("".join, pieces)))):
+                raw = [c.encode() for c in piece]
+                whole = all(
+                    b"".join(map(tokens.__getitem__, ids)) == b"".join(raw)
+                    for tokens, ids in ((self.a_bytes, a), (self.b_bytes, b))
+                )
+                if whole:
+                    self._known.update(zip(piece, align(a, b, self, accumulate(map(len, raw)))))
+                elif len(piece) > 1:
+                    failed += [[c] for c in piece]
+                else:
+                    self._known[piece[0]] = None
+            pieces = failed
+
     def aligned(self, texts: list[str]) -> Iterator[Aligned]:
         """Alignment of whole texts; none where either side does not give back the bytes of the text."""
         cut = [self.chunks(t) for t in texts]
@@ -115,13 +137,7 @@ class Tokenizers:
         if len(self._known) + len(new) > CACHED_CHUNKS:
             self._known.clear()
             new = list({c for chunks in cut for c in chunks})
-        for chunk, a, b in zip(new, *self.encode(new)):
-            raw = chunk.encode()
-            whole = all(
-                b"".join(map(tokens.__getitem__, ids)) == raw
-                for tokens, ids in ((self.a_bytes, a), (self.b_bytes, b))
-            )
-            self._known[chunk] = align(a, b, self) if whole else None
+        self._learn(new)
         for text, chunks in zip(texts, cut):
             found = list(map(self._known.__getitem__, chunks))
             if not text or None in found:
@@ -136,23 +152,38 @@ def _loaded(byte_file: bytes, piece_file: bytes) -> Tokenizers:
     return Tokenizers(byte_file, piece_file)
 
 
-def align(a: list[int], b: list[int], both: Tokenizers) -> Aligned:
-    """Numbers of tokens and groups, the groups as text, and all links ``A id << 32 | B id``."""
+def align(a: list[int], b: list[int], both: Tokenizers, ends: Iterator[int]) -> list[Aligned]:
+    """Alignment of each chunk of a piece; ``ends`` are where its chunks do.
+
+    Numbers of tokens and groups, the groups as text, and all links ``A id << 32 | B id``.
+    """
     a_ends = list(accumulate(map(both.a_size.__getitem__, a)))
     b_ends = list(accumulate(map(both.b_size.__getitem__, b)))
     a_place = dict(zip(a_ends, range(1, len(a) + 1)))  # from each end to the tokens up to it
     b_place = dict(zip(b_ends, range(1, len(b) + 1)))
     common = sorted(a_place.keys() & b_place.keys())
-    links, text = [], []
-    i = j = 0
-    for i_end, j_end in zip(map(a_place.__getitem__, common), map(b_place.__getitem__, common)):
-        own = ",".join(map(both.a_text.__getitem__, a[i:i_end]))
-        text.append(f"{own}|{','.join(map(both.b_text.__getitem__, b[j:j_end]))}")
-        while i < i_end:  # of two linked tokens, the one that ends first has met all it overlaps
-            links.append(a[i] << 32 | b[j])
-            step = a_ends[i] - b_ends[j]
-            i, j = i + (step <= 0), j + (step >= 0)
-    return len(a), len(b), len(common), ";".join(text), links
+    a_text, b_text = both.a_text, both.b_text
+    found, links, text = [], [], []
+    i = j = i_first = j_first = 0
+    stop = next(ends)
+    for end in common:
+        i_end, j_end = a_place[end], b_place[end]
+        links.append(a[i] << 32 | b[j])
+        if i_end - i == 1 and j_end - j == 1:
+            text.append(f"{a_text[a[i]]}|{b_text[b[j]]}")
+        else:
+            text.append(f"{','.join(map(str, a[i:i_end]))}|{','.join(map(str, b[j:j_end]))}")
+            while True:  # of two linked tokens, the one that ends first has met all it overlaps
+                step = a_ends[i] - b_ends[j]
+                i, j = i + (step <= 0), j + (step >= 0)
+                if i == i_end:
+                    break
+                links.append(a[i] << 32 | b[j])
+        i, j = i_end, j_end
+        if end == stop:
+            found.append((i - i_first, j - j_first, len(text), ";".join(text), links))
+            i_first, j_first, links, text, stop = i, j, [], [], next(ends, None)
+    return found
 
 
 def _packed(numbers: np.ndarray, sizes: np.ndarray) -> bytes:
