@@ -7,8 +7,8 @@ stretches of words about as long as a landmark. Words are read without what is n
 and spelled-out words as one, and a landmark with up to two letters put in stays close. Landmarks
 are word beginnings that tell toxic training documents from clean ones; the Nystroem map through
 them makes the kernel machine a linear one. It is trained on sentences: all of clean documents, and
-of each toxic document the one that the machine so far calls worst. A document scores as its worst
-sentence does.
+of each toxic document those with a landmark and the one that the machine so far calls worst. A
+document scores as its worst sentence does.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ from tallygraph.llm.text import SPACE, byte_prefix, joined, slices, span_hash, w
 from tallygraph.session import table
 
 LANDMARKS = 200
-LEAST = 10  # landmarks, where too few texts are labelled for any to be significant
+LEAST = 10  # landmarks, where too few texts are labelled for any to be sure
+SHARE = 1 / 40  # of the toxic texts that hold a sure landmark, at least
 RATIO = 30  # how much commoner in toxic than in clean texts a landmark must be
 ROUNDS = 3  # in which the worst sentences are chosen anew
 ALIKE = 100  # clean words taken as landmarks beside them
@@ -287,35 +288,44 @@ def _evidence(bad: int, fine: int, n_toxic: int, n_clean: int) -> float:
 def choose_landmarks(texts: list[str], labels: np.ndarray, limit: int = LANDMARKS) -> list[bytes]:
     """Word beginnings and words of toxic texts that hardly occur in clean ones, the surest first.
 
-    A string must be ``RATIO`` times commoner in toxic texts, and so much so that less than one in
-    all candidates would be by chance; the best ``LEAST`` need not be as sure.
+    A string must be ``RATIO`` times commoner in toxic texts than in clean ones. It is sure if that
+    holds in either half of the texts and it is in ``SHARE`` of the toxic ones. Where fewer than
+    ``LEAST`` are sure, those with the strongest evidence follow.
     """
     common: Counter = Counter()
     for i in np.flatnonzero(labels):
         common.update(_long_words(texts[i]))
     candidates = _beginnings({w for w, n in common.items() if n > 1})
     del common
-    bad, fine = Counter(), Counter()
-    for text, label in zip(texts, labels.tolist()):
-        (bad if label else fine).update(_beginnings(_long_words(text)) & candidates)
-    n_toxic = max(1, int(labels.sum()))
-    n_clean = max(1, len(labels) - n_toxic)
+    half = np.zeros(len(texts), np.int64)
+    for label in (0, 1):  # toxic and clean texts are halved apart, so that no order empties a half
+        half[np.flatnonzero(labels == label)[1::2]] = 1
+    counts = [[Counter(), Counter()], [Counter(), Counter()]]  # by half and label
+    for text, label, h in zip(texts, labels.tolist(), half.tolist()):
+        counts[h][label].update(_beginnings(_long_words(text)) & candidates)
+    sizes = [[max(1, int(((labels == label) & (half == h)).sum())) for label in (0, 1)] for h in (0, 1)]
+    bad, fine = (counts[0][label] + counts[1][label] for label in (1, 0))
+    n_clean, n_toxic = (sizes[0][label] + sizes[1][label] for label in (0, 1))
+
+    def telling(s: bytes, h: int) -> bool:
+        return counts[h][1][s] > 1 and counts[h][1][s] * sizes[h][0] > RATIO * counts[h][0][s] * sizes[h][1]
+
     good = {
         s: _evidence(n, fine[s], n_toxic, n_clean)
         for s, n in bad.items()
         if n > 1 and n * n_clean > RATIO * fine[s] * n_toxic
     }
-    sure = 2 * np.log(max(2, len(candidates)))
+    sure = {s: g for s, g in good.items() if bad[s] >= max(4, SHARE * n_toxic) and telling(s, 0) and telling(s, 1)}
     chosen: list[bytes] = []
-    while good and len(chosen) < limit:
-        top = max(good, key=lambda s: (good[s], s))
-        if good[top] <= sure and len(chosen) >= LEAST:
-            break
-        # Of strings nearly as frequent as the first, the longest says most.
-        kin = [s for s in good if (s.startswith(top) or top.startswith(s)) and bad[s] >= 0.9 * bad[top]]
-        best = max(kin, key=lambda s: (len(s), good[s], s))
-        chosen.append(best)
-        good = {s: g for s, g in good.items() if not s.startswith(best) and not best.startswith(s)}
+    for pool, size in ((sure, limit), (good, LEAST)):
+        pool = {s: g for s, g in pool.items() if not any(s.startswith(c) or c.startswith(s) for c in chosen)}
+        while pool and len(chosen) < size:
+            top = max(pool, key=lambda s: (pool[s], s))
+            # Of strings nearly as frequent as the first, the longest says most.
+            kin = [s for s in pool if (s.startswith(top) or top.startswith(s)) and bad[s] >= 0.9 * bad[top]]
+            best = max(kin, key=lambda s: (len(s), pool[s], s))
+            chosen.append(best)
+            pool = {s: g for s, g in pool.items() if not s.startswith(best) and not best.startswith(s)}
     return chosen
 
 
@@ -386,8 +396,8 @@ def _alike(strings: list[bytes], clean: list[str]) -> tuple[list[bytes], np.ndar
 def fit(texts: list[str], labels: np.ndarray) -> Model:
     """Train on labelled texts; their sentences are the instances.
 
-    All sentences of clean texts are negative; the sentence of a toxic text that is closest to a
-    landmark, then the one the machine so far calls worst, is positive. Clean words that resemble
+    All sentences of clean texts are negative. Of a toxic text those that hold a landmark as it is
+    are positive, and the one closest to a landmark, then the one the machine so far calls worst. Clean words that resemble
     an insult become landmarks as well, so that the machine can tell the two apart. Without both
     classes every text scores the share of toxic ones.
     """
@@ -417,10 +427,12 @@ def fit(texts: list[str], labels: np.ndarray) -> Model:
     clean = np.flatnonzero(labels[doc] == 0)
     toxic = np.flatnonzero(labels[doc] == 1)
     worst = kernel[:, :insults].max(axis=1).astype(np.float64)
+    plain = toxic[worst[toxic] >= 0.999]  # they hold a landmark as it is
     for _ in range(ROUNDS):
         # The worst sentence of each toxic text; the last row stands for all that resemble nothing.
         order = toxic[np.lexsort((-worst[toxic], doc[toxic]))]
         chosen = order[np.concatenate(([True], doc[order[1:]] != doc[order[:-1]]))] if len(order) else order
+        chosen = np.union1d(chosen, plain)
         instances = np.concatenate((x[chosen], x[clean], np.zeros((1, n))))
         signs = np.repeat([1.0, -1.0], [len(chosen), len(clean) + 1])
         cost = np.ones(len(signs))
