@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallygraph.plans.appointments import append_appointments, appointments
-from tallygraph.plans.load_delay import DURATION_COLUMNS, load_delay
+from tallygraph.plans.load_delay import DURATION_COLUMNS, count_reasons, judge_lines, load_delay
 from tallygraph.plans.log_query import log_query as summarize_log
 from tallygraph.queries.registry import query
 from tallygraph.session import table
@@ -114,6 +114,28 @@ def load_delay_histogram(spark, folder):
     return histogram.withColumn("point_time", F.date_format("point_time", "yyyy-MM-dd HH:mm:ss"))
 
 
+@query(
+    """
+    WITH steps AS (
+      SELECT event_id, event_type, unnest(range(0, 4)) AS step FROM events),
+    judged AS (
+      SELECT CASE WHEN step = 1 AND event_id % 10 = 3 THEN 'time' WHEN step = 3 AND event_id % 10 = 4 THEN 'text'
+                  WHEN step = 0 AND event_id % 50 = 7 THEN 'session' ELSE 'kept' END AS reason
+      FROM steps WHERE NOT (event_type = 'error' AND step = 2))
+    SELECT reason, count(*) AS n FROM judged GROUP BY reason"""
+)
+def load_delay_reasons(spark, folder):
+    """Kept and rejected log lines by reason, some of them broken on the way here."""
+    lines = app_log_lines(table(spark, folder, "events"))
+    event = F.regexp_extract("value", '"progressKey":"([0-9]+)"', 1).try_cast("bigint") % 10
+    broken = (
+        F.when((event == 3) & F.contains("value", F.lit("getConfigData")), F.regexp_replace("value", "^x,", "x,at "))
+        .when((event == 4) & F.contains("value", F.lit("client.init.done")), F.substring_index("value", ",{", 1))
+        .otherwise(F.col("value"))
+    )
+    return count_reasons(judge_lines(lines.select(broken.alias("value"))))
+
+
 METRICS = (
     "Bike.Appointment", "Bike.Outtime.Appointment", "Bike.Cancel.Appointment",
     "Bike.Auto.Cancel.Appointment", "Bike.Ride",

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tallygraph.plans.appointments import appointments
-from tallygraph.plans.load_delay import load_delay
+from tallygraph.plans.load_delay import load_delay, load_delay_stream
 from tallygraph.queries.logs import APPOINTMENTS_SQL, AS_OF, LOAD_DELAY_SQL, app_log_lines, metric_lines
 from tallygraph.queries.registry import query
 from tallygraph.session import stream_table, table
 from tallygraph.sources.streams import replay, union_streams
-from tallygraph.streaming import clickstream, counts, sessions
+from tallygraph.storage import scratch_path
+from tallygraph.streaming import clickstream, counts, keyed_state, sessions
 from tallygraph.streaming.runner import run_append, run_batches, run_complete, run_update
 
 BATCHES = 4
@@ -218,3 +220,90 @@ def stream_load_delay(spark, folder):
     """Start-up histogram of every batch of log lines; here one batch holds all lines."""
     per_batch = run_batches(app_log_lines(stream_table(spark, folder, "events")), load_delay)
     return per_batch.drop("batch_id").withColumn("point_time", F.date_format("point_time", "yyyy-MM-dd HH:mm:ss"))
+
+
+# Windows that close: rows leave once the latest event is later by the watermark, in append mode.
+LATE = "3 hours"
+_CLOSED_SQL = """SELECT * FROM ({windows}) WHERE CAST(start AS TIMESTAMP) + INTERVAL 6 HOUR
+    <= (SELECT max(ts) FROM events) - INTERVAL 3 HOUR"""
+
+
+@query(_CLOSED_SQL.format(windows=_sliding_sql("event_type, count(*) AS n", ", event_type")))
+def stream_closed_windows(spark, folder):
+    return _window_text(run_append(counts.windowed(event_stream(spark, folder), "ts", ["event_type"], SIZE, SLIDE, LATE)))
+
+
+@query(_CLOSED_SQL.format(windows=_sliding_sql("event_type AS url, count(*) AS n", ", event_type")))
+def clicks_closed_pages(spark, folder):
+    return _window_text(run_append(clickstream.sliding_page_counts(page_view_stream(spark, folder), SIZE, SLIDE, LATE)))
+
+
+@query(
+    _CLOSED_SQL.format(
+        windows=_sliding_sql(
+            "CAST(user_id % 10 AS INTEGER) AS \"zipCode\", count(*) AS views, count(*) FILTER (WHERE event_type = 'error') AS errors, "
+            "count(*) FILTER (WHERE event_type = 'error') / count(*) > 0.2 AS alert",
+            ", user_id % 10",
+        )
+    )
+)
+def clicks_closed_error_rate(spark, folder):
+    stream = clickstream.error_rate_per_zip(page_view_stream(spark, folder), SIZE, SLIDE, 0.2, LATE)
+    return _window_text(run_append(stream.drop("ratio")))
+
+
+@query(_CLOSED_SQL.format(windows=_sliding_sql("count(DISTINCT user_id) AS users", "")))
+def clicks_closed_active_users(spark, folder):
+    return _window_text(run_append(clickstream.active_users_closed(page_view_stream(spark, folder), SIZE, SLIDE, LATE)))
+
+
+@query(
+    f"""
+    WITH last AS (SELECT max(epoch_us(ts) // 1000 + 200 + CAST(floor(value * 100) AS BIGINT)) AS t FROM events)
+    SELECT h.* FROM ({LOAD_DELAY_SQL}) h, last
+    WHERE epoch_us(CAST(point_time AS TIMESTAMP)) // 1000 + 300000 <= last.t - 600000"""
+)
+def stream_load_delay_windows(spark, folder):
+    """Start-up histogram of the windows that have closed; their sessions may span batches."""
+    closed = run_append(load_delay_stream(app_log_lines(stream_table(spark, folder, "events"))))
+    return closed.withColumn("point_time", F.date_format("point_time", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query(
+    """
+    WITH marked AS (
+      SELECT user_id, epoch_us(ts) // 1000 AS ms,
+             CASE WHEN epoch_us(ts) // 1000 - lag(epoch_us(ts) // 1000) OVER w > 21600000 THEN 1 ELSE 0 END AS opens
+      FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+    numbered AS (SELECT user_id, ms, sum(opens) OVER (PARTITION BY user_id ORDER BY ms ROWS UNBOUNDED PRECEDING) AS s FROM marked)
+    SELECT CAST(user_id AS VARCHAR) AS session_id, min(ms) AS first_ms, max(ms) AS last_ms, count(*) AS num_events,
+           max(ms) + 21600000 < (SELECT max(epoch_us(ts)) // 1000 FROM events) - 10800000 AS expired
+    FROM numbered GROUP BY user_id, s"""
+)
+def stream_expiring_sessions(spark, folder):
+    """Sessions of events at most 6 hours apart; those the watermark has passed are expired."""
+    found = keyed_state.expiring_sessions(event_stream(spark, folder), "user_id", "ts", 21_600_000, LATE)
+    return run_update(found, ["session_id", "first_ms"], processors=True)
+
+
+@query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+def stream_recovered_count(spark, folder):
+    """A count whose sink fails once: the next run on its checkpoint repeats the batch, a third finds no more."""
+    place = {"path": scratch_path(spark, "recovered"), "checkpoint_location": scratch_path(spark, "progress")}
+    failed = []
+
+    def write(batch):
+        if not failed:
+            failed.append(batch.count())
+            raise ConnectionError("the sink is away")
+        return batch
+
+    def run():
+        counted = counts.count_by(event_stream(spark, folder), "event_type")
+        return run_batches(counted, write, mode="update", **place)
+
+    try:
+        run()
+    except StreamingQueryException:
+        run()
+    return run().groupBy("event_type").agg(F.max_by("n", "batch_id").alias("n"))

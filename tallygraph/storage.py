@@ -57,6 +57,12 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything is at a path of any file system Spark knows."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def release(spark: SparkSession) -> None:
     """Delete what this application wrote through :func:`scratch_path`, and nothing else."""
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()

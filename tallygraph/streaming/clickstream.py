@@ -64,6 +64,20 @@ def active_users(views: DataFrame, size: str = "15 seconds", slide: str = "2 sec
     )
 
 
+def active_users_closed(
+    views: DataFrame, size: str = "15 seconds", slide: str = "2 seconds", watermark: str = "15 seconds"
+) -> DataFrame:
+    """Distinct users of every sliding window that has closed, as a stream in append mode.
+
+    A (window, user) is remembered once and forgotten when its window closes; what is new is
+    counted as it comes, so no window is ever counted again. Windows close when the latest view is
+    later than their end by the watermark; views that come later still are ignored.
+    """
+    windows = views.withWatermark("ts", watermark).select(F.window("ts", size, slide).alias("window"), "userID")
+    first = windows.where("userID IS NOT NULL").dropDuplicates(["window", "userID"])
+    return first.groupBy("window").agg(F.count(F.lit(1)).alias("users"))
+
+
 def popular_users_seen(views: DataFrame, users: DataFrame, n: int = 10) -> DataFrame:
     """First n listed users ``(userID, name)`` that each batch has seen, in order of their id."""
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallygraph.functions.scalar import words
+from tallygraph.streaming.keyed_state import counts_from
 from tallygraph.streaming.runner import run_batches
 
 
@@ -50,19 +51,13 @@ def windowed(
     )
 
 
-def stateful_count(df: DataFrame, key: str, initial: DataFrame) -> DataFrame:
+def stateful_count(df: DataFrame, key: str, initial: DataFrame, **place: str) -> DataFrame:
     """Running count per key on top of initial counts ``(key, n)``, as ``(key, n, batch_id)``.
 
-    Every batch gives one row for each key it contains. The running part is the built-in streaming
-    aggregate, which combines before it shuffles; initial counts are added as rows leave it.
+    Every batch gives one row for each key it contains. The initial counts are handed to the state
+    once; with the ``path`` and ``checkpoint_location`` of an earlier run, that run's counts go on.
     """
-    start = initial.select(key, F.col("n").alias("_start"))
-
-    def add_start(batch: DataFrame) -> DataFrame:
-        total = F.col("n") + F.coalesce(F.col("_start"), F.lit(0))
-        return batch.join(start, key, "left").select(key, total.alias("n"))
-
-    return run_batches(count_by(df, key), add_start, mode="update")
+    return run_batches(counts_from(df, key, initial), lambda batch: batch, mode="update", processors=True, **place)
 
 
 def split_by_list(df: DataFrame, key: str, listed: DataFrame) -> DataFrame:

@@ -15,24 +15,33 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType
 
-from tallygraph.storage import scratch_path
+from tallygraph.storage import exists, scratch_path
 
 BatchFunction = Callable[[DataFrame, int], None]
 
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 @contextmanager
-def state_partitions(spark: SparkSession, partitions: int | None = None):
+def state_partitions(spark: SparkSession, partitions: int | None = None, processors: bool = False):
     """Number of state stores of the queries started inside; it is fixed with their checkpoint.
 
-    By default one per task slot, since state partitions are not coalesced at run time.
+    By default one per task slot, since state partitions are not coalesced at run time. Stateful
+    ``processors`` need the RocksDB store.
     """
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(partitions or spark.sparkContext.defaultParallelism))
+    settings = {"spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism)}
+    if processors:
+        settings[_PROVIDER] = _ROCKS_DB
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def start(
@@ -42,6 +51,7 @@ def start(
     checkpoint_location: str | None = None,
     interval: str | None = None,
     partitions: int | None = None,
+    processors: bool = False,
 ) -> StreamingQuery:
     """Start a query that hands every micro-batch to ``sink``.
 
@@ -51,7 +61,7 @@ def start(
     location = checkpoint_location or scratch_path(spark, "progress")
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", location)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
-    with state_partitions(spark, partitions):
+    with state_partitions(spark, partitions, processors):
         return writer.foreachBatch(sink).start()
 
 
@@ -76,9 +86,13 @@ def run_batches(
     path: str | None = None,
     checkpoint_location: str | None = None,
     timers: bool = False,
+    processors: bool = False,
 ) -> DataFrame:
     """Apply a batch query to every micro-batch; returns all results with their ``batch_id``.
 
+    Given the path and checkpoint of an earlier run, it goes on from there; a run without new input
+    returns what there is.
+
     A query with processing-time ``timers`` never runs out of batches by itself: it is stopped
     once it has taken all input.
     """
@@ -91,13 +105,17 @@ def run_batches(
         schemas.append(result.schema)
         result.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    query = start(stream, sink, mode, checkpoint_location, interval="1 second" if timers else None)
+    interval = "1 second" if timers else None
+    query = start(stream, sink, mode, checkpoint_location, interval, processors=processors)
     if timers:
         _stop_when_idle(query)
     else:
         query.awaitTermination()
     if not schemas:
-        raise RuntimeError("the stream has not delivered a batch")
+        if not exists(spark, path):
+            raise RuntimeError("the stream has not delivered a batch")
+        written = spark.read.option("mergeSchema", "true").parquet(path)
+        return written.withColumn("batch_id", F.col("batch_id").cast("bigint"))
     return spark.read.schema(schemas[-1].add("batch_id", LongType())).parquet(path)
 
 
@@ -118,9 +136,9 @@ def run_complete(
     return spark.read.schema(last["schema"]).parquet(f"{path}/version={last['version']}")
 
 
-def run_update(stream: DataFrame, keys: list[str], timers: bool = False) -> DataFrame:
+def run_update(stream: DataFrame, keys: list[str], timers: bool = False, processors: bool = False) -> DataFrame:
     """Latest row per key of a query in update mode: only changed rows are written per batch."""
-    changes = run_batches(stream, lambda batch: batch, mode="update", timers=timers)
+    changes = run_batches(stream, lambda batch: batch, mode="update", timers=timers, processors=processors)
     values = [c for c in changes.columns if c not in (*keys, "batch_id")]
     latest = F.max_by(F.struct(*values), "batch_id").alias("_latest")
     return changes.groupBy(*keys).agg(latest).select(*keys, "_latest.*")

@@ -1,12 +1,14 @@
 """Streams of files: windows and late rows, restart, initial state, sessions and their timeout."""
 
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from tallygraph.plans.load_delay import DURATION_COLUMNS, count_reasons, judge_lines, load_delay, load_delay_stream, parse_lines
 from tallygraph.sources.streams import read_new_lines, union_streams
-from tallygraph.streaming import clickstream, counts, sessions
+from tallygraph.streaming import clickstream, counts, keyed_state, sessions
 from tallygraph.streaming.runner import run_append, run_batches, run_complete, run_update, start
 
 
@@ -187,3 +189,163 @@ def test_session_updates_and_timeout(spark, feed, tmp_path):
     assert ("a", 5000, 2, False) in seen and ("a", 5000, 2, True) in seen
     assert ("b", 0, 1, True) in seen
     assert ("a", 0, 1, False) in seen  # the old session is gone, a new one has begun
+
+
+# Windows that close --------------------------------------------------------------------------------
+
+
+def state_rows(stream, mode="append", **how):
+    """Rows of the state after each batch, by operator."""
+    query = start(stream, lambda batch, _: batch.count(), mode, **how)
+    query.awaitTermination()
+    return [[o["numRowsTotal"] for o in p["stateOperators"]] for p in query.recentProgress]
+
+
+def test_active_users_close_once(feed, rows):
+    made = feed(
+        VIEWS,
+        [view(1, user=1), view(2, user=1), view(4, user=2), view(11, user=1)],
+        [view(3, user=3), view(8, user=1), view(12, user=4)],  # out of order, not too late
+        [view(40, user=5)],
+        [view(41, user=5)],
+        [view(5, user=6), view(41, user=5)],  # too late for its window, two batches after it closed
+        [("2024-01-01 00:02:00", "p\t200\t1\t7")],
+    )
+    closed = run_append(clickstream.active_users_closed(views(made), "10 seconds", "5 seconds", "10 seconds"))
+    got = {r[0]: r[1] for r in rows(closed.select(F.date_format("window.start", "mm:ss"), "users"))}
+    assert got == {"59:55": 3, "00:00": 3, "00:05": 2, "00:10": 2, "00:35": 1, "00:40": 1}
+    sizes = state_rows(clickstream.active_users_closed(views(made), "10 seconds", "5 seconds", "10 seconds"))
+    assert max(map(max, sizes)) > 2 and max(sizes[-1]) <= 2  # only the windows of the last view are open
+
+
+def test_closed_windows_of_many_batches(feed, rows):
+    """One row per batch gives what one batch gives, and the state stays small."""
+    words = [(f"2024-01-01 {i // 60:02d}:{i % 60:02d}:00", "ab"[i % 2]) for i in range(40)]
+    one = feed(WORDS, words)
+    whole = rows(run_append(counts.windowed(timed(one), "ts", ["word"], "5 minutes", watermark="1 minute")))
+    many = Feed(one.spark, one.path + "-many", WORDS)
+    Path(many.path).mkdir()
+    for i in range(0, 40, 4):
+        many.add(*words[i : i + 4])
+    stream = counts.windowed(timed(many), "ts", ["word"], "5 minutes", watermark="1 minute")
+    assert rows(run_append(stream)) == whole and len(whole) == 14
+    assert max(map(max, state_rows(stream))) <= 6
+
+
+def log_line(ms, session, action, status, network="4G"):
+    body = f'{{"condition":{{"progressKey":"{session}","actionName":"{action}","status":"{status}","appversion":"5.1","network":"{network}","ostype":"iOS"}}}}'
+    return (f"x,2024-01-01 00:{ms // 60000:02d}:{ms // 1000 % 60:02d}.{ms % 1000:03d},info,{body}",)
+
+
+def session_lines(start_ms, session, length):
+    steps = [(0, "client.init.start", "1"), (50, "client.init.getConfigData", "2"), (90, "client.init.getRideConfig", "1"), (length, "client.init.done", "1")]
+    return [log_line(start_ms + at, session, action, status) for at, action, status in steps]
+
+
+@pytest.mark.parametrize("per_batch", [100, 5, 3])
+def test_load_delay_over_batches(spark, feed, rows, per_batch):
+    """Sessions are cut by batch borders; the closed windows are those of the batch job."""
+    lines = [x for i in range(12) for x in session_lines(i * 50_000, f"s{i}", 1000 + 700 * i)]
+    lines += [("broken",), log_line(1_700_000, "end", "client.init.start", "1")]
+    made = feed("value STRING", *[lines[i : i + per_batch] for i in range(0, len(lines), per_batch)])
+    got = run_append(load_delay_stream(made.stream(), watermark="1 minute"))
+    batch = load_delay(spark.createDataFrame(lines, "value STRING"))
+    assert got.columns == batch.columns
+    assert rows(got) == rows(batch) and got.agg(F.sum("sessions")).first()[0] == 12
+    assert got.select(sum(F.col(c) for c in DURATION_COLUMNS) == F.col("sessions")).distinct().collect() == [(True,)]
+
+
+def test_load_delay_drops_late_lines_and_state(feed, rows):
+    made = feed(
+        "value STRING",
+        session_lines(10_000, "a", 2000),
+        [log_line(900_000, "x", "client.init.start", "1")],
+        [log_line(900_500, "x", "client.init.start", "1")],
+        session_lines(20_000, "late", 2000),
+        [log_line(1_800_000, "y", "client.init.start", "1")],
+    )
+    stream = load_delay_stream(made.stream(), watermark="1 minute")
+    assert rows(run_append(stream), "sessions") == [(1,)]
+    assert sum(state_rows(stream)[-1]) == 1  # the last window only
+
+
+def test_judged_lines(spark, rows):
+    good = session_lines(0, "s", 900)
+    bad = [("x,no time,info,{}",), ("x,2024-01-01 00:00:00.000,info",), ("x,2024-01-01 00:00:00.000,info,{\"condition\":{",), (None,), ("",)]
+    lines = spark.createDataFrame(good + bad, "value STRING")
+    judged = judge_lines(lines)
+    assert rows(count_reasons(judged)) == [("kept", 4), ("session", 1), ("text", 1), ("time", 3)]
+    kept = judged.where("reason IS NULL")
+    assert kept.where("line IS NOT NULL").isEmpty()
+    assert rows(kept.drop("reason", "line")) == rows(parse_lines(lines))
+    assert rows(judged.where("reason = 'text'"), "line") == [bad[1]]
+
+
+# State per key -------------------------------------------------------------------------------------
+
+
+def test_initial_counts_survive_a_restart(spark, feed, tmp_path, rows):
+    initial = spark.createDataFrame([("hello", 10), ("hello", 5), ("unseen", 7)], "word STRING, n BIGINT")
+    words = feed(WORDS, [("2024-01-01", "hello"), ("2024-01-01", "new"), ("2024-01-01", None)])
+    place = dict(path=f"{tmp_path}/out", checkpoint_location=f"{tmp_path}/progress")
+    counts.stateful_count(words.stream(), "word", initial, **place)
+    words.add(("2024-01-02", "hello"), ("2024-01-02", "unseen"), ("2024-01-02", None))
+    got = counts.stateful_count(words.stream(), "word", initial, **place)
+    assert rows(got, "batch_id", "word", "n") == sorted(
+        [(0, "hello", 16), (0, "new", 1), (0, None, 1), (1, "hello", 17), (1, "unseen", 8), (1, None, 2)], key=repr
+    )
+    again = counts.stateful_count(words.stream(), "word", initial, **place)  # nothing new to count
+    assert rows(again, "batch_id", "word", "n") == rows(got, "batch_id", "word", "n")
+
+
+def test_sink_that_fails_once(feed, tmp_path, rows):
+    words = feed(WORDS, [("2024-01-01", "a"), ("2024-01-01", "b")], [("2024-01-01", "a")])
+    place = dict(path=f"{tmp_path}/out", checkpoint_location=f"{tmp_path}/progress", mode="update")
+    seen = []
+
+    def write(batch):
+        seen.append(batch.count())
+        if len(seen) == 2:
+            raise ConnectionError("away")
+        return batch
+
+    with pytest.raises(Exception, match="away"):
+        run_batches(counts.count_by(words.stream(), "word"), write, **place)
+    got = run_batches(counts.count_by(words.stream(), "word"), write, **place)
+    assert rows(got, "batch_id", "word", "n") == [(0, "a", 1), (0, "b", 1), (1, "a", 2)]
+    assert len(seen) == 3  # the first batch is not run again
+
+
+def test_expiring_sessions(feed, rows):
+    words = feed(
+        WORDS,
+        [("2024-01-01 00:00:00", "a"), ("2024-01-01 00:00:05", "a"), ("2024-01-01 00:00:40", "a"), ("2024-01-01 00:00:01", "b")],
+        [("2024-01-01 00:00:12", "a"), ("2024-01-01 00:00:20", "b"), ("2024-01-01 00:00:11", "b"), (None, "b")],
+        [("2024-01-01 00:05:00", "c"), ("2024-01-01 00:05:00", None)],
+        [("2024-01-01 00:05:01", "c")],
+    )
+    stream = keyed_state.expiring_sessions(timed(words), "word", "ts", 10_000, "20 seconds")
+    base = 1704067200000
+    got = rows(run_update(stream, ["session_id", "first_ms"], processors=True))
+    assert [(r[0], r[1] - base, r[2] - base, *r[3:]) for r in got] == sorted(
+        [
+            ("a", 0, 12_000, 3, True), ("a", 40_000, 40_000, 1, True), ("b", 1_000, 20_000, 3, True),
+            ("c", 300_000, 301_000, 2, False), (None, 300_000, 300_000, 1, False),
+        ],
+        key=repr,
+    )
+
+
+def test_expired_sessions_leave_no_state(feed):
+    words = feed(WORDS, *[[(f"2024-01-01 {h:02d}:00:00", w) for w in "abc"] for h in range(6)])
+    stream = keyed_state.expiring_sessions(timed(words), "word", "ts", 1_000, "1 minute")
+    sizes = [max(s) for s in state_rows(stream, "update", processors=True) if s]
+    assert sizes[-1] <= max(sizes) and max(sizes) <= 40
+
+
+def test_merged_spans():
+    spans = [(0, 5, 1), (20, 30, 2), (15, 15, 1), (6, 6, 1), (100, 100, 1), (26, 90, 1), (0, 5, 1)]
+    assert keyed_state.merged(spans, 9) == [(0, 90, 7), (100, 100, 1)]
+    assert keyed_state.merged(spans, 10) == [(0, 100, 8)]
+    assert keyed_state.merged(spans, 5) == [(0, 6, 3), (15, 90, 4), (100, 100, 1)]
+    assert keyed_state.merged([], 5) == []
