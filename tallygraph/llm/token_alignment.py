@@ -33,7 +33,7 @@ BYTE_VOCABULARY = "byte_bpe_50k.json"
 PIECE_VOCABULARY = "piece_bpe_32k.model"
 SLICE_BYTES = 1 << 20  # text encoded at once
 BLOCK_BYTES = 8 << 20  # text of a block; one longer document is one block
-CACHED_CHUNKS = 200_000  # aligned pieces of text a Python worker remembers; beyond that it starts anew
+CACHED_CHUNKS = 200_000  # aligned pieces of text a Python worker remembers, and as many of before
 _LOW = (1 << 32) - 1
 JOINT_CHUNKS = 500  # of them that are encoded at once
 Aligned = tuple[int, int, int, str, list[int]]
@@ -93,6 +93,7 @@ class Tokenizers:
         self.a_size, self.b_size = (list(map(len, x)) for x in (self.a_bytes, self.b_bytes))
         self.a_text, self.b_text = (list(map(str, range(len(x)))) for x in (self.a_bytes, self.b_bytes))
         self._known: dict[str, Aligned | None] = {}
+        self._older: dict[str, Aligned | None] = {}
 
     def chunks(self, text: str) -> list[str]:
         """A space and the text, cut after words; each piece starts with a space."""
@@ -133,10 +134,13 @@ class Tokenizers:
     def aligned(self, texts: list[str]) -> Iterator[Aligned]:
         """Alignment of whole texts; none where either side does not give back the bytes of the text."""
         cut = [self.chunks(t) for t in texts]
-        new = list({c for chunks in cut for c in chunks if c not in self._known})
-        if len(self._known) + len(new) > CACHED_CHUNKS:
-            self._known.clear()
-            new = list({c for chunks in cut for c in chunks})
+        wanted = {c for chunks in cut for c in chunks}
+        if len(self._known) + len(wanted) > CACHED_CHUNKS:
+            self._known, self._older = {}, self._known
+        new = wanted.difference(self._known)
+        known = new.intersection(self._older)
+        self._known.update(zip(known, map(self._older.__getitem__, known)))
+        new = list(new.difference(known))
         self._learn(new)
         for text, chunks in zip(texts, cut):
             found = list(map(self._known.__getitem__, chunks))
