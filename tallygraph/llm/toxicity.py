@@ -351,16 +351,16 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(self.slope * margin + self.shift, -30, 30)))
 
 
-def _svm(rows: np.ndarray, signs: np.ndarray, cost: np.ndarray, rounds: int = 2000) -> tuple[np.ndarray, float]:
-    """Linear machine with squared hinge loss, by accelerated gradient steps."""
-    x = np.column_stack((rows, np.ones(len(rows))))
+def _svm(x: np.ndarray, signs: np.ndarray, cost: np.ndarray, rounds: int = 2000) -> tuple[np.ndarray, float]:
+    """Linear machine with squared hinge loss, by accelerated gradient steps; the last column is 1."""
     keep = np.ones(x.shape[1]) * 1e-4
     keep[-1] = 0.0
-    step = 1.0 / (2.0 * np.linalg.norm(x * np.sqrt(cost)[:, None], 2) ** 2 + keep.max())
+    spread = sum((x[i : i + 1000].T * cost[i : i + 1000]) @ x[i : i + 1000] for i in range(0, len(x), 1000))
+    step = 1.0 / (2.0 * np.linalg.eigvalsh(spread)[-1] + keep.max())
     w = v = np.zeros(x.shape[1])
     for n in range(rounds):
-        slackness = np.maximum(0.0, 1.0 - signs * (x @ v))
-        gradient = -2.0 * (x * (cost * signs * slackness)[:, None]).sum(axis=0) + keep * v
+        slackness = np.maximum(0.0, 1.0 - signs * (x @ v.astype(np.float32)))
+        gradient = -2.0 * ((cost * signs * slackness).astype(np.float32) @ x) + keep * v
         fresh = v - step * gradient
         v, w = fresh + (n / (n + 3.0)) * (fresh - w), fresh
     return w[:-1], float(w[-1])
@@ -423,22 +423,24 @@ def fit(texts: list[str], labels: np.ndarray) -> Model:
     between = np.array([normalised_kernel([s] * n, strings) for s in strings]) ** POWER
     values, vectors = np.linalg.eigh((between + between.T) / 2)
     root = vectors @ np.diag(1.0 / np.sqrt(np.maximum(values, 1e-2))) @ vectors.T
-    x = kernel @ root
+    x = np.column_stack((kernel @ root.astype(np.float32), np.ones(len(kernel), np.float32)))
     clean = np.flatnonzero(labels[doc] == 0)
     toxic = np.flatnonzero(labels[doc] == 1)
     worst = kernel[:, :insults].max(axis=1).astype(np.float64)
     plain = toxic[worst[toxic] >= 0.999]  # they hold a landmark as it is
+    del rows, kernel
     for _ in range(ROUNDS):
         # The worst sentence of each toxic text; the last row stands for all that resemble nothing.
         order = toxic[np.lexsort((-worst[toxic], doc[toxic]))]
         chosen = order[np.concatenate(([True], doc[order[1:]] != doc[order[:-1]]))] if len(order) else order
         chosen = np.union1d(chosen, plain)
-        instances = np.concatenate((x[chosen], x[clean], np.zeros((1, n))))
+        nothing = np.append(np.zeros(n), 1).astype(np.float32)
+        instances = np.concatenate((x[chosen], x[clean], nothing[None]))
         signs = np.repeat([1.0, -1.0], [len(chosen), len(clean) + 1])
         cost = np.ones(len(signs))
         cost[-1] = (labels == 0).sum()
         weights, bias = _svm(instances, signs, cost / cost.sum())
-        worst = x @ weights + bias
+        worst = x[:, :-1] @ weights.astype(np.float32) + bias
     margin = np.full(len(texts), bias)
     np.maximum.at(margin, doc, worst)
     return Model(marks, root @ weights, bias, *_probability(margin, labels))
