@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import multiprocessing
 import pickle
 from collections.abc import Callable, Iterator
 from typing import TypeVar
@@ -55,6 +56,19 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, usable: Column, **how
     return [r[1] for r in rows], np.array([r[2] for r in rows], np.int64)
 
 
+def _apart(call: Callable[[], bytes]) -> bytes:
+    """Result of a call in a process of its own, whose memory goes with it, unlike a worker's."""
+    forked = multiprocessing.get_context("fork")
+    receiver, sender = forked.Pipe(duplex=False)
+    child = forked.Process(target=lambda: sender.send_bytes(call()))
+    child.start()
+    sender.close()
+    try:
+        return receiver.recv_bytes()  # EOFError if the child fails, so that the task is tried again
+    finally:
+        child.join()
+
+
 def fit_in_task(rows: DataFrame, fit: Callable[[list[str], np.ndarray], T]) -> T:
     """``fit(texts, labels)`` of sampled rows, in one task; only the plain values it returns come back."""
 
@@ -63,8 +77,9 @@ def fit_in_task(rows: DataFrame, fit: Callable[[list[str], np.ndarray], T]) -> T
         for batch in batches:
             found += zip(*(c.to_pylist() for c in batch.columns))
         found.sort()
-        model = fit([r[1] for r in found], np.array([r[2] for r in found], np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+        labels = np.array([r[2] for r in found], np.int64)
+        model = _apart(lambda: pickle.dumps(fit([r[1] for r in found], labels)))
+        yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], names=["model"])
 
     fitted = rows.repartition(1).mapInArrow(run, "model binary").first()
     return pickle.loads(fitted[0]) if fitted else fit([], np.zeros(0, np.int64))
