@@ -110,7 +110,7 @@ class _Tree:
         self.children = {k: np.array(v) for k, v in children.items()}
         self.leaves = {
             p["page"]: (
-                np.frombuffer(p["vectors"], np.int64).reshape(-1, size),
+                np.frombuffer(p["vectors"], np.int64).reshape(len(p["ids"]), size),  # an empty vector is one
                 np.frombuffer(p["distances"]),
                 p["ids"],
             )

@@ -53,13 +53,14 @@ def test_metric_search(spark, rows, monkeypatch, seed, leaf):
     vectors.update({i: vectors[7] for i in range(200, 260)})  # a very common vector
     vectors.update({300: [0.0] * 6, 301: [5.0] * 6})
     data = [*vectors.items(), (301, vectors[301]), (400, None), (401, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (None, vectors[0])]
-    data += [(402, [float("nan")] * 6), (403, [float("inf"), 0.0, 0.0, 0.0, 0.0, 0.0]), (404, [1.0, 2.0]), (405, [])]
+    data += [(402, [float("nan")] * 6), (403, [float("inf"), 0.0, 0.0, 0.0, 0.0, 0.0]), (404, [1.0, 2.0]), (405, []), (410, [])]
     frame = spark.createDataFrame(data, "vec_id BIGINT, embedding ARRAY<DOUBLE>").withColumn("score", F.lit("clash"))
     whole = {i: np.floor(np.array(v) * 1024).astype(np.int64) for i, v in vectors.items()}
     want = []
     for q in (i for i in whole if i % 10 == 0):
         best = sorted((-int(whole[q] @ v), i) for i, v in whole.items() if i != q)[:10]
         want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    want.append((410, 1, 405, 0))  # the empty vectors find each other
     found = metric_search.top_k(frame.where("vec_id % 10 = 0"), frame)
     assert rows(found.where("query_id != 400"), "query_id", "rank", "vec_id", "score") == sorted(want, key=repr)
     assert metric_search.top_k(frame, frame.limit(0)).isEmpty()
