@@ -8,6 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallygraph.graph.slots import EDGES_PER_SLOT, bucketed, slotted
 from tallygraph.storage import checkpoint, materialize
 
 
@@ -53,6 +54,7 @@ def pregel(
     send_when: Column | None = None,
     use_dst: bool = False,
     max_rounds: int | None = None,
+    edges_per_slot: int = EDGES_PER_SLOT,
 ) -> DataFrame:
     """Rounds of send, merge and update until no vertex is active; returns the vertices.
 
@@ -64,13 +66,26 @@ def pregel(
     ``update`` and ``changed`` see the old state and the merged messages, null for a vertex that
     got none. A vertex is active in the next round when ``changed`` holds.
 
-    The only value that reaches the driver is whether an active vertex is left.
+    The edges are bucketed by source once, so that a round moves the active vertices to them and
+    not the other way round; the edges of a source with more than ``edges_per_slot`` are dealt out
+    to several buckets. ``edges`` is read three times: pass a materialized frame. The only value that
+    reaches the driver is whether an active vertex is left.
     """
+    laid = bucketed(slotted(edges, "src", edges_per_slot, present=["src", "dst"]))
+    try:
+        return _rounds(
+            vertices, laid, send, merge, update, changed, send_when, use_dst, max_rounds
+        )
+    finally:
+        laid.drop()
+
+
+def _rounds(vertices, laid, send, merge, update, changed, send_when, use_dst, max_rounds):
     columns = vertices.columns
+    source = [F.col(c).alias("id" if c == "id" else f"src_{c}") for c in columns]
     state = checkpoint(vertices.withColumn("_active", F.lit(True)))
     for done in itertools.count(1):
-        active = state.where("_active").select(*columns)
-        sent = triplets(active, edges, src=True, dst=False)
+        sent = laid.join(state.where("_active").select(*source))
         if use_dst:
             sent = triplets(state.select(*columns), sent, src=False, dst=True)
         if send_when is not None:

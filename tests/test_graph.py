@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallygraph.graph import components, labels, messages, model, pagerank, paths, triangles
-from tallygraph.graph.slots import slotted
+from tallygraph.graph.slots import bucketed, slotted
 
 EDGES = [(1, 2), (2, 3), (3, 1), (3, 4), (4, 5), (5, 6), (6, 4), (7, 7), (1, 2)]
 
@@ -244,3 +244,53 @@ def test_edge_partitioning(spark, strategy):
 def test_unknown_partitioning(edges):
     with pytest.raises(ValueError):
         model.partition_edges(edges, "3d", 4)
+
+
+@pytest.mark.parametrize("edges_per_slot", [1_000_000, 40])
+def test_pregel_moves_the_frontier_to_the_edges(spark, rows, edges_per_slot):
+    """One round: the state is exchanged, the bucketed edges are not; a hub fills several buckets."""
+    hub = spark.range(300).selectExpr("0L AS src", "id + 1 AS dst", "1 AS w")
+    chain = spark.range(1, 300).selectExpr("id AS src", "id + 1 AS dst", "CAST(NULL AS INT) AS w")
+    laid = bucketed(slotted(hub.unionByName(chain), "src", edges_per_slot, present=["src", "dst"]))
+    assert (laid.hubs is not None) == (edges_per_slot == 40)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        state = spark.range(300).withColumn("v", F.lit(1))
+        joined = laid.join(state)
+        assert joined.count() == 599
+        scan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    above, below = scan.split("edges_", 1)
+    assert "Bucketed: true" in below
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    lines = (above + "edges_").splitlines()
+    level = depth(lines[-1])
+    for line in reversed(lines):
+        if depth(line) < level:
+            level = depth(line)
+            assert "Exchange" not in line
+    if laid.hubs is not None:
+        assert max(r["count"] for r in laid.edges.where("src = 0").groupBy("_slot").count().collect()) < 100
+    laid.drop()
+    assert not spark.catalog.tableExists(laid.table)
+
+
+def test_pregel_with_a_hub_and_null_weights(spark, rows):
+    """Edges in slots give the distances of edges without; a null weight makes no offer, but stays an edge."""
+    pairs = [(0, i, float(i % 7 + 1)) for i in range(1, 200)] + [(i, i + 1, 0.5) for i in range(1, 210)]
+    pairs += [(210, 211, None), (None, 5, 1.0), (5, None, 1.0)]
+    edges = spark.createDataFrame(pairs, "src BIGINT, dst BIGINT, w DOUBLE")
+    vertices = spark.range(213)
+    want = rows(paths.shortest_paths(vertices, edges, 0, F.col("w")))
+    assert dict(want)[211] == dict(want)[212] == float("inf") and dict(want)[0] == 0.0
+    degree = dict(send={"m": F.lit(1)}, merge={"m": F.count("m")}, update={"n": F.coalesce("m", F.lit(0))}, changed=F.lit(False))
+    got = messages.pregel(vertices.withColumn("n", F.lit(0)), edges, **degree, edges_per_slot=20)
+    assert rows(got.where("id = 211")) == [(211, 1)]
+    best = {i: float("inf") for i in range(213)} | {0: 0.0}
+    for _ in range(213):
+        for s, d, w in pairs:
+            if None not in (s, d, w):
+                best[d] = min(best[d], best[s] + w)
+    assert dict(want) == best
