@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tallygraph.plans import csv_repair
 from tallygraph.queries.registry import query
 from tallygraph.session import table
 from tallygraph.sources import files, writers
@@ -121,3 +122,15 @@ def bucketed_join(spark, folder):
     )
     joined = spark.table(orders).join(spark.table(lines), F.col("o_orderkey") == F.col("l_orderkey"))
     return joined.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("lines"))
+
+
+@query(
+    "SELECT CAST(doc_id AS VARCHAR) AS doc_id, nullif(regexp_replace(text, '[\r\n]+', '', 'g'), '') AS text, source FROM documents"
+)
+def csv_repaired(spark, folder):
+    """Whole texts written as quoted CSV fields, line breaks included, and read back one record per line."""
+    path = scratch_path(spark, "broken-csv")
+    rows = table(spark, folder, "documents").select("doc_id", "text", "source")
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.write.options(header=True, quoteAll=True, escape='"', **kept).csv(path)
+    return csv_repair.read_repaired(spark, path)

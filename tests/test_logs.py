@@ -1,5 +1,7 @@
 """Log and file pipelines on hand-made lines."""
 
+import random
+
 import pytest
 
 from tallygraph.plans import appointments, csv_repair, load_delay, log_query
@@ -118,6 +120,59 @@ def test_csv_repair(spark, tmp_path):
     assert sorted(text.split()) == ["3,b", "a,2", "k,v", "xyz,1"]
 
 
+def _one_pass(text):
+    """Records of a text by a walk over its characters; one with a field never closed keeps its lines."""
+    records, current, inside = [], "", False
+    for char in text:
+        inside ^= char == '"'
+        if char == "\n" and not inside:
+            records.append(current.replace("\n", ""))
+            current = ""
+        else:
+            current += char
+    return [r for r in records + current.split("\n") if r]
+
+
+@pytest.mark.parametrize("piece_bytes, closed", [(800, True), (900, False), (100_000, False)])
+def test_csv_repair_over_piece_borders(spark, tmp_path, piece_bytes, closed):
+    """Fields with breaks at, over and far beyond the borders of pieces; also a field never closed."""
+    rng = random.Random(piece_bytes)
+    (tmp_path / "in").mkdir()
+    want = {}
+    for name in ("a", "b c"):
+        rows = []
+        for i in range(80):
+            broken = "".join(rng.choice(["x", "\n", '""', ",", "yz", "é"]) for _ in range(rng.choice([0, 3, 30, 2000 if i % 20 == 3 else 90])))
+            rows.append(f'{name}{i},"{broken}",{i}' if rng.random() < 0.6 else f"{name}{i},plain,{i}")
+        text = "\n".join(rows) + "\n" + ("" if closed else 'end,"never\n""closed""\n\n' + "here,1\n" * 400)
+        (tmp_path / "in" / f"{name}.csv").write_text(text)
+        want[f"{name}.csv"] = _one_pass(text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    opening = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(piece_bytes))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        found = csv_repair.repaired_lines(spark, f"{tmp_path}/in").where("value <> ''")
+        lines = found.orderBy("source", "piece", "place").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.set("spark.sql.files.openCostInBytes", opening)
+    got = {name: [r["value"] for r in lines if r["source"].endswith("/" + name)] for name in want}
+    assert got == want
+    if piece_bytes < 1000:
+        assert len({(r["source"], r["piece"]) for r in lines}) > 10
+
+
+def test_csv_repair_without_header_or_rows(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text('1;"x\r\ny"\n\n2;""\n3;\n')
+    got = csv_repair.read_repaired(spark, f"{tmp_path}/in", header=False, sep=";")
+    assert sorted(tuple(r) for r in got.collect()) == [("1", "xy"), ("2", None), ("3", None)]
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "a.csv").write_text("")
+    assert csv_repair.read_repaired(spark, f"{tmp_path}/none").count() == 0
+
+
 def test_parsing_evaluates_a_line_once(spark):
     df = lines(spark, app("a", "00.000")).repartition(2)
     plan = load_delay.parse_lines(df)._jdf.queryExecution().optimizedPlan().toString()
