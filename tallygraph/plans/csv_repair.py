@@ -140,7 +140,8 @@ def _records(spark: SparkSession, path: str, header: bool, sep: str) -> DataFram
 def read_repaired(spark: SparkSession, path: str, header: bool = True, sep: str = ",") -> DataFrame:
     """Records of CSV files as text columns, line breaks inside fields removed.
 
-    Empty lines are no records and empty fields are null, as in Spark's own reader. Columns are named by the first record of the first file, ``_c0``, ``_c1``, ... without a header.
+    Empty lines are no records and empty fields are null, as in Spark's own reader. Columns are
+    named by the first record of the first file, ``_c0``, ``_c1``, ... without a header.
     """
     return _records(spark, path, header, sep).select("record.*")
 

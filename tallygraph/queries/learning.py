@@ -9,6 +9,7 @@ from tallygraph.learn import als, kmeans, logreg
 from tallygraph.learn.batches import vector_sums
 from tallygraph.queries.registry import query
 from tallygraph.session import table
+from tallygraph.storage import materialize
 
 K = 5
 ROUNDS = 5
@@ -113,12 +114,28 @@ def rmse(spark, folder):
     return als.rmse(priced, "listed", "l_extendedprice").select(fixed_point(F.col("rmse"), 2).alias("rmse"))
 
 
-@query()
-def als_predictions(spark, folder):
-    """Predicted quantity of every customer - part pair that was ordered."""
+def _bought(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     bought = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    triples = als.ratings(bought, "o_custkey", "l_partkey", "l_quantity")
-    model = als.factorize(triples, rank=8, rounds=3)
-    return model.transform(triples).select("user", "item", "rating", "prediction")
+    return materialize(als.ratings(bought, "o_custkey", "l_partkey", "l_quantity"), "bought")
+
+
+@query()
+def als_predictions(spark, folder):
+    """Predicted quantity of every customer - part pair that was ordered."""
+    triples = _bought(spark, folder)
+    return als.factorize(triples, rank=8, rounds=3).transform(triples)
+
+
+@query(
+    """
+    SELECT o_custkey AS "user", count(DISTINCT l_partkey) AS ratings, true AS solved
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_custkey
+    """
+)
+def als_normal_equations(spark, folder):
+    """Every customer whose factors solve the equations of the customer's own ratings."""
+    triples = _bought(spark, folder)
+    off = als.factorize(triples, rank=8, rounds=3).unsolved(triples)
+    return off.select("user", "ratings", (F.col("off") < 1e-5).alias("solved"))

@@ -69,6 +69,42 @@ def test_als_error_falls(spark):
     assert errors[1] < 0.3
 
 
+def _normal_equations(triples, factors):
+    """Largest distance of a user's factors from the solution by numpy, relative to its size."""
+    items = {r["item"]: np.array(r["v"]) for r in factors.items.collect()}
+    worst = 0.0
+    for row in factors.users.collect():
+        mine = [(items[i], r) for u, i, r in triples if u == row["user"]]
+        gram = sum(np.outer(v, v) for v, _ in mine) + factors.reg * len(mine) * np.eye(factors.rank)
+        want = np.linalg.solve(gram, sum(r * v for v, r in mine))
+        worst = max(worst, np.abs(want - row["u"]).max() / np.abs(want).max())
+    return worst
+
+
+def test_als_with_64_bit_ids_and_its_normal_equations(spark):
+    far = 2**40
+    triples = [(far + u, -far * i, float((u * i) % 5 + 1)) for u in range(25) for i in range(1, 20) if (u + i) % 3]
+    df = spark.createDataFrame(triples, "user BIGINT, item BIGINT, rating FLOAT")
+    odd = spark.createDataFrame([(None, 1, 1.0), (1, None, 1.0), (2, 3, None)], df.schema)
+    factors = als.factorize(df.unionByName(odd), rank=3, rounds=4, reg=0.1, ratings_per_block=20)
+    assert _normal_equations(triples, factors) < 1e-3
+    off = factors.unsolved(df).collect()
+    assert len(off) == 25 and max(r["off"] for r in off) < 1e-5
+    assert {r["user"]: r["ratings"] for r in off}[far] == sum(1 for t in triples if t[0] == far)
+    moved = factors.users.withColumn("u", F.transform("u", lambda x: x * 1.01))
+    wrong = als.Factors(moved, factors.items, factors.rank, factors.reg).unsolved(df)
+    assert wrong.where("off < 1e-5").count() == 0
+    assert factors.transform(df).count() == len(triples)
+
+
+def test_dense_ids(spark, rows):
+    keys = [(7,), (None,), (-3,), (2**50,), (7,)] + [(i * 1000,) for i in range(200)]
+    df = spark.createDataFrame(keys, "k BIGINT").repartition(5)
+    distinct = sorted({k for k, in keys if k is not None})
+    assert sorted(tuple(r) for r in als.dense_ids(df, "k").collect()) == [(k, i) for i, k in enumerate(distinct)]
+    assert als.dense_ids(df.limit(0), "k").count() == 0
+
+
 def test_rmse(spark):
     df = spark.createDataFrame([(1.0, 2.0), (3.0, 3.0)], "p DOUBLE, a DOUBLE")
     assert als.rmse(df, "p", "a").first()["rmse"] == pytest.approx(np.sqrt(0.5))
