@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tallygraph.storage import checkpoint, materialize
 
@@ -27,29 +30,58 @@ def salted_aggregate(
     return first.groupBy(*keys).agg(*[expr.alias(name) for name, expr in final.items()])
 
 
+def heavy_keys(rows: DataFrame, key: str, share: float) -> tuple[DataFrame, DataFrame]:
+    """``(rows, heavy)``: the rows, written once, and the keys that hold more than ``share`` of them.
+
+    A frequent-items sketch is filled by every task while the rows are written, so they are
+    computed once and no key is shuffled to be counted. Every key above the share is in ``heavy``
+    (key, ``rows``); counts may be off by a ninth of the share, so keys just below it may be too.
+    The sketch keeps a number of keys that follows from the share, and ``heavy`` at most two for
+    each share. Null is no key.
+    """
+    shares = math.ceil(1 / share)
+    # The error of the sketch is at most 3.5 / tracked of all rows.
+    tracked = min(1_000_000, 32 * shares)
+    seen = Observation()
+    top = F.expr(f"approx_top_k(`{key}`, {2 * shares}, {tracked})")
+    written = materialize(rows.observe(seen, top.alias("top"), F.count(F.lit(1)).alias("rows")), "observed")
+    found = seen.get
+    least = found["rows"] * (share - 3.5 / tracked)
+    heavy = [(t["item"], t["count"]) for t in found["top"] or [] if t["item"] is not None and t["count"] > least]
+    schema = StructType([rows.schema[key], StructField("rows", LongType())])
+    return written, rows.sparkSession.createDataFrame(heavy, schema)
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
     key: str,
     hot_rows: int | None = None,
-    salts: int = 32,
+    salts: int | None = None,
     how: str = "inner",
 ) -> DataFrame:
-    """Equi-join in which the left rows of every hot key are spread over ``salts`` tasks.
+    """Equi-join in which the left rows of every hot key are spread over several tasks.
 
-    A key is hot when the left side has more than ``hot_rows`` rows of it; by default more than
-    an even share of all rows for every shuffle partition. The right rows of hot keys, and only
-    those, are repeated once per salt. ``how`` is inner or left.
+    A key is hot when the left side has more than ``hot_rows`` rows of it, which takes a count of
+    all keys; by default when it has more than an even share of the rows for every shuffle
+    partition, which a sketch finds while the rows are written. Each hot key gets ``salts`` tasks,
+    by default one for each such share. The right rows of hot keys, and only those, are repeated
+    once per salt. Rows without a key are spread like those of a hot key. ``how`` is inner or left.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join keeps the left side: how must be inner or left")
-    sizes = left.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if hot_rows is None:
-        sizes = materialize(sizes, "key-sizes")
-        total = sizes.agg(F.sum("_rows")).first()[0] or 0
-        hot_rows = total // int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = sizes.where(F.col("_rows") > hot_rows).select(key, F.lit(salts).alias("_salts"))
-    row_salt = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.col("_salts"))
+        left, heavy = heavy_keys(left, key, 1 / partitions)
+        even = F.greatest(F.lit(1), F.lit(left.count()) / partitions)
+        heavy = F.broadcast(heavy)
+    else:
+        counted = left.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+        heavy, even = counted.where(F.col("rows") > hot_rows), F.lit(max(1, hot_rows))
+    wanted = F.greatest(F.lit(2), F.ceil(F.col("rows") / even)) if salts is None else F.lit(salts)
+    hot = heavy.select(key, wanted.cast("int").alias("_salts"))
+    keyless = F.when(F.col(key).isNull(), F.lit(salts or partitions))
+    row_salt = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.coalesce("_salts", keyless))
     spread = left.join(hot, key, "left").withColumn("_salt", F.coalesce(row_salt, F.lit(0)))
     repeated = (
         right.join(hot, key, "left")

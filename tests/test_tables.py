@@ -261,6 +261,47 @@ def test_salted_equals_plain(spark, rows):
         assert rows(got, "k", "v", "w") == rows(df.join(right, "k", how), "k", "v", "w")
 
 
+def test_heavy_keys_of_one_pass(spark, rows):
+    """Every key above the share is found among many light ones, and rows are computed once."""
+    runs = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            runs.add(batch.num_rows)
+            yield batch
+
+    heavy = {1: 9000, 2: 4500, 3: 2500}
+    df = spark.range(34_000).selectExpr(
+        "CASE WHEN id < 9000 THEN 1L WHEN id < 13500 THEN 2L WHEN id < 16000 THEN 3L WHEN id < 20000 THEN NULL ELSE id END AS k", "id AS v"
+    ).repartition(6).mapInArrow(count, "k BIGINT, v BIGINT")
+    written, found = skew.heavy_keys(df, "k", 1 / 16)
+    assert runs.value == 34_000 and written.count() == 34_000
+    got = dict(rows(found))
+    assert set(got) == set(heavy)
+    assert all(abs(got[k] - n) <= 34_000 / 16 / 9 for k, n in heavy.items())
+    empty, none = skew.heavy_keys(df.limit(0), "k", 1 / 16)
+    assert empty.count() == none.count() == 0
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_salted_join_with_keys_of_text_and_none(spark, rows, how):
+    """A third of the rows has one key, a third has none: both are spread, and no row is lost."""
+    df = spark.range(6000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN NULL ELSE CAST(id AS STRING) END AS k", "id AS v")
+    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("5", 3), (None, 4)], "k STRING, w INT")
+    got = skew.salted_join(df, right, "k", how=how)
+    assert rows(got, "k", "v", "w") == rows(df.join(right, "k", how), "k", "v", "w")
+    if how == "left":
+        # Partitions as small as these would be put together again.
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            spread = skew.salted_join(df, right.hint("shuffle_hash"), "k", how=how)
+            places = spread.where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()
+        finally:
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        assert len(places) > 1 and max(r["count"] for r in places) < 2000
+    assert skew.salted_join(df.limit(0), right, "k", how=how).count() == 0
+
+
 def test_layouts(spark):
     df = spark.range(100).selectExpr("id", "id % 5 AS k")
     assert layout.partition_by_key(df, "k", 6).rdd.getNumPartitions() == 6
