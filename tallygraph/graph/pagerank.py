@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,22 +97,27 @@ def pagerank_until(
 ) -> DataFrame:
     """Ranks once no rank moves by more than the tolerance.
 
-    A round shrinks the moves by the damping factor, so this ends for any tolerance above rounding
-    errors. The largest move is looked at every ``rounds_per_plan`` rounds.
+    A round shrinks the sum of the moves by the damping factor, so this ends for any tolerance
+    above rounding errors; below them, where moves no longer shrink, an error is raised. The largest move is looked at every ``rounds_per_plan`` rounds.
     """
     if tolerance <= 0:
         raise ValueError("the tolerance must be positive")
     weighted, ids, base = _start(edges, vertices, edges_per_slot)
     ranks = ids.withColumn("rank", F.lit(1.0))
+    last = math.inf
     while True:
         for _ in range(rounds_per_plan - 1):
             ranks = _round(ranks, weighted, base)
         before = checkpoint(ranks)
         ranks = checkpoint(_round(before, weighted, base))
+        distance = F.abs(F.col("rank") - F.col("old"))
         move = (
             ranks.join(before.withColumnRenamed("rank", "old"), "id")
-            .agg(F.max(F.abs(F.col("rank") - F.col("old"))).alias("move"))
-            .first()["move"]
+            .agg(F.max(distance).alias("largest"), F.sum(distance).alias("total"))
+            .first()
         )
-        if move is None or move <= tolerance:
+        if move["largest"] is None or move["largest"] <= tolerance:
             return _scaled(ranks)
+        if move["total"] >= last:
+            raise ValueError("the tolerance is below the rounding of the ranks")
+        last = move["total"]

@@ -14,6 +14,8 @@ from tallygraph.learn.batches import as_matrix, partial_sums, vector_sums
 
 Centres = list[list[float]]
 
+_CHANGED = -1
+
 
 def sample_centres(points: DataFrame, id_column: str, vector: str, k: int, seed: int = 42) -> Centres:
     """k different rows as start points: those of the smallest seeded hashes of their id."""
@@ -27,23 +29,35 @@ def _nearest(matrix: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return distances.argmin(axis=1)
 
 
-def _new_centres(points: DataFrame, vector: str, centres: Centres) -> Centres:
+def _new_centres(
+    points: DataFrame, vector: str, centres: Centres, before: Centres | None = None
+) -> tuple[Centres, int | None]:
+    """The moved centres, and how many points have another nearest centre than ``before``."""
     current = np.array(centres)
+    earlier = None if before is None else np.array(before)
 
     def summarize(batch):
         matrix = as_matrix(batch.column(0))
         nearest = _nearest(matrix, current)
         keys, counts = np.unique(nearest, return_counts=True)
-        return keys, counts, np.stack([matrix[nearest == key].sum(axis=0) for key in keys])
+        sums = np.stack([matrix[nearest == key].sum(axis=0) for key in keys])
+        if earlier is None:
+            return keys, counts, sums
+        changed = np.count_nonzero(nearest != _nearest(matrix, earlier))
+        return np.append(keys, _CHANGED), np.append(counts, changed), np.vstack([sums, 0 * sums[:1]])
 
     parts = partial_sums(points.select(vector), summarize)
     counts = parts.groupBy("key").agg(F.sum("n").alias("n"))
     sums = vector_sums(parts, ["key"], "sums").select("key", "sums")
     # k rows come back, as many as there are centres; an empty cluster keeps its centre.
     moved = [list(c) for c in centres]
+    changed = None if before is None else 0
     for row in sums.join(counts, "key").collect():
-        moved[row["key"]] = [total / row["n"] for total in row["sums"]]
-    return moved
+        if row["key"] == _CHANGED:
+            changed = row["n"]
+        else:
+            moved[row["key"]] = [total / row["n"] for total in row["sums"]]
+    return moved, changed
 
 
 def lloyd(
@@ -54,14 +68,15 @@ def lloyd(
 ) -> Centres:
     """Move the centres until the sum of their squared moves is at most ``converge``.
 
-    Write ``points`` before if they are the result of a longer plan: they are read once per round.
+    It also ends as soon as no point has another nearest centre than in the round before. Moves
+    that are left then come from sums added up in another order, and may never become 0. Write ``points`` before if they are the result of a longer plan: they are read once per round.
     """
-    current = [[float(x) for x in c] for c in centres]
+    before, current = None, [[float(x) for x in c] for c in centres]
     while True:
-        moved = _new_centres(points, vector, current)
+        moved, changed = _new_centres(points, vector, current, before)
         shift = sum((a - b) ** 2 for c, m in zip(current, moved) for a, b in zip(c, m))
-        current = moved
-        if shift <= converge:
+        before, current = current, moved
+        if shift <= converge or changed == 0:
             return current
 
 
@@ -69,7 +84,7 @@ def lloyd_rounds(points: DataFrame, vector: str, centres: Sequence[Sequence[floa
     """The centres after a fixed number of rounds, settled or not."""
     current = [[float(x) for x in c] for c in centres]
     for _ in range(rounds):
-        current = _new_centres(points, vector, current)
+        current, _ = _new_centres(points, vector, current)
     return current
 
 

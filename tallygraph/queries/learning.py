@@ -14,15 +14,17 @@ from tallygraph.storage import materialize
 K = 5
 ROUNDS = 5
 LR_ROUNDS = 3
+# Rounds of the SQL, more than the tables need until nothing changes.
+SETTLED = 60
 
 
-def _unrolled_kmeans_sql() -> str:
+def _unrolled_kmeans_sql(rounds: int = ROUNDS) -> str:
     steps = [
         "points AS MATERIALIZED (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)",
         f"cells AS MATERIALIZED (SELECT vec_id, unnest(range(1, len(v) + 1)) AS pos, unnest(v) AS x FROM points)",
         f"centre0 AS MATERIALIZED (SELECT vec_id AS cluster, v AS c FROM points WHERE vec_id < {K})",
     ]
-    for i in range(1, ROUNDS + 1):
+    for i in range(1, rounds + 1):
         steps.append(
             f"""near{i} AS MATERIALIZED (
               SELECT vec_id, cluster FROM (
@@ -49,8 +51,27 @@ def _unrolled_kmeans_sql() -> str:
 )
 def kmeans_fixed_rounds(spark, folder):
     points = table(spark, folder, "embeddings")
-    start = [row[0] for row in points.where(F.col("vec_id") < K).orderBy("vec_id").select("embedding").collect()]
-    centres = kmeans.lloyd_rounds(points, "embedding", start, ROUNDS)
+    centres = kmeans.lloyd_rounds(points, "embedding", _start(points), ROUNDS)
+    rows = spark.createDataFrame(list(enumerate(centres)), "cluster INT, c ARRAY<DOUBLE>")
+    cells = rows.select("cluster", F.posexplode("c").alias("pos", "value"))
+    return cells.withColumn("value", fixed_point(F.col("value"), 6))
+
+
+def _start(points):
+    return [row[0] for row in points.where(F.col("vec_id") < K).orderBy("vec_id").select("embedding").collect()]
+
+
+@query(
+    f"""
+    WITH {_unrolled_kmeans_sql(SETTLED)}
+    SELECT CAST(cluster AS INTEGER) AS cluster, unnest(range(0, len(c)))::INTEGER AS pos,
+           CAST(floor(unnest(c) * 1e6 + 0.5) AS BIGINT) AS value FROM centre{SETTLED}
+    """
+)
+def kmeans_converged(spark, folder):
+    """Rounds until no point changes its centre."""
+    points = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    centres = kmeans.lloyd(points, "embedding", _start(points))
     rows = spark.createDataFrame(list(enumerate(centres)), "cluster INT, c ARRAY<DOUBLE>")
     cells = rows.select("cluster", F.posexplode("c").alias("pos", "value"))
     return cells.withColumn("value", fixed_point(F.col("value"), 6))

@@ -6,11 +6,14 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tallygraph.graph import model
 from tallygraph.plans import csv_repair
+from tallygraph.plans.group_detection import write_groups
+from tallygraph.queries.inputs import EVENT_RELATIONS_SQL, event_relations
 from tallygraph.queries.registry import query
 from tallygraph.session import table
 from tallygraph.sources import files, writers
-from tallygraph.storage import scratch_path
+from tallygraph.storage import materialize, scratch_path
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders UNION ALL SELECT o_orderkey, o_totalprice FROM orders")
@@ -134,3 +137,56 @@ def csv_repaired(spark, folder):
     kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     rows.write.options(header=True, quoteAll=True, escape='"', **kept).csv(path)
     return csv_repair.read_repaired(spark, path)
+
+
+@query(
+    "SELECT o_orderkey, o_totalprice, CAST(NULL AS BIGINT) AS o_custkey, 1 AS part FROM orders WHERE o_orderstatus = 'F' "
+    "UNION ALL SELECT o_orderkey, NULL, o_custkey, 2 FROM orders WHERE o_orderstatus <> 'F'"
+)
+def schema_merge(spark, folder):
+    """Two parts of a table with different columns, read as one."""
+    path = scratch_path(spark, "merged")
+    orders = table(spark, folder, "orders")
+    finished = F.col("o_orderstatus") == "F"
+    writers.write_parquet(orders.where(finished).select("o_orderkey", "o_totalprice"), f"{path}/part=1")
+    others = orders.where(~finished).select("o_orderkey", F.col("o_custkey").cast("bigint").alias("o_custkey"))
+    writers.write_parquet(others, f"{path}/part=2")
+    return files.read_parquet(spark, path, merge_schema=True)
+
+
+@query(
+    "SELECT least(l_suppkey, l_partkey) AS src, greatest(l_suppkey, l_partkey) AS dst, count(*) AS edges "
+    "FROM lineitem GROUP BY ALL"
+)
+def edge_list_file(spark, folder):
+    """Edges of a text file with comments, each turned so that the smaller end comes first."""
+    path = scratch_path(spark, "edges")
+    line = F.concat_ws("\t", F.col("l_suppkey").cast("string"), F.col("l_partkey").cast("string"))
+    comment = F.concat(F.lit("# line "), F.col("l_linenumber").cast("string"))
+    lines = table(spark, folder, "lineitem").select(F.explode(F.array(comment, line)).alias("value"))
+    writers.write_lines(lines, path)
+    return model.edge_list(spark, path, canonical=True).groupBy("src", "dst").agg(F.count(F.lit(1)).alias("edges"))
+
+
+@query("SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS src, o_orderstatus AS dst FROM orders")
+def link_pairs_file(spark, folder):
+    """Distinct pairs of a text file in which pairs repeat."""
+    path = scratch_path(spark, "links")
+    pair = F.concat_ws(" ", F.col("o_custkey").cast("string"), "o_orderstatus")
+    writers.write_lines(table(spark, folder, "orders").select(pair), path)
+    return model.link_pairs(spark, path)
+
+
+@query(f"WITH {EVENT_RELATIONS_SQL} SELECT rel, 2 * count(*) AS rows, count(DISTINCT edge_id) AS edges FROM event_relations GROUP BY rel")
+def managed_append(spark, folder):
+    """Groups appended twice to a managed table partitioned by relation."""
+    name = f"groups_{uuid.uuid4().hex}"
+    relations = event_relations(spark, folder).select("rel", "user_id", "edge_id")
+    for _ in range(2):
+        write_groups(relations, name)
+    counts = spark.table(name).groupBy("rel").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("edge_id").alias("edges")
+    )
+    counts = materialize(counts, "appended")
+    writers.drop_table(spark, name)
+    return counts

@@ -294,3 +294,15 @@ def test_pregel_with_a_hub_and_null_weights(spark, rows):
             if None not in (s, d, w):
                 best[d] = min(best[d], best[s] + w)
     assert dict(want) == best
+
+
+def test_pagerank_ends_for_a_tolerance_below_rounding(spark, rows):
+    """Either no rank moves at all any more, or moves stop shrinking, which is an error."""
+    pairs = [(i, (i * 7 + j) % 20) for i in range(20) for j in range(1, 4) if i % 3]
+    edges = spark.createDataFrame(pairs, "src BIGINT, dst BIGINT")
+    try:
+        ranks = dict(rows(pagerank.pagerank_until(edges, 1e-300)))
+    except ValueError as stuck:
+        assert "rounding" in str(stuck)
+    else:
+        assert ranks == pytest.approx(dict(rows(pagerank.pagerank_until(edges, 1e-12))))

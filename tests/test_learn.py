@@ -97,6 +97,16 @@ def test_als_with_64_bit_ids_and_its_normal_equations(spark):
     assert factors.transform(df).count() == len(triples)
 
 
+def test_lloyd_ends_when_no_point_changes(spark):
+    """Sums of thirds differ in their last bits with the order of partitions, so moves need not reach 0."""
+    values = [(i, [i / 3.0, (i % 7) / 9.0]) for i in range(400)]
+    df = spark.createDataFrame(values, "id BIGINT, v ARRAY<DOUBLE>").repartition(7)
+    centres = np.array(kmeans.lloyd(df, "v", [[0.0, 0.0], [1.0, 1.0], [2.0, 0.5]], converge=-1.0))
+    data = np.array([v for _, v in values])
+    nearest = ((data[:, None] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+    assert centres == pytest.approx(np.array([data[nearest == i].mean(axis=0) for i in range(3)]))
+
+
 def test_dense_ids(spark, rows):
     keys = [(7,), (None,), (-3,), (2**50,), (7,)] + [(i * 1000,) for i in range(200)]
     df = spark.createDataFrame(keys, "k BIGINT").repartition(5)
