@@ -6,6 +6,7 @@ bounded slice of a batch; Spark does the partitioning.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +22,11 @@ _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 def slices(
     batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that a slice has at most ``limit`` bytes of text, or one row."""
+    """Cut batches so that a slice has at most ``limit`` bytes of text, or one row.
+
+    Workers are used again by later stages, so free memory is given back before and after a task.
+    """
+    give_back()
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(False)
         start, held = 0, 0
@@ -32,6 +37,15 @@ def slices(
             held += int(size)
         if start < batch.num_rows:
             yield batch.slice(start)
+    give_back()
+
+
+def give_back() -> None:
+    """Return memory that Arrow and the C library keep although nothing uses it any more."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def joined(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
