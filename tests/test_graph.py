@@ -9,8 +9,9 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tallygraph.graph import components, labels, messages, model, pagerank, paths, triangles
+from tallygraph.graph import components, labels, messages, model, pagerank, paths, slots, triangles
 from tallygraph.graph.slots import bucketed, slotted
+from tallygraph.storage import materialize
 
 EDGES = [(1, 2), (2, 3), (3, 1), (3, 4), (4, 5), (5, 6), (6, 4), (7, 7), (1, 2)]
 
@@ -87,6 +88,25 @@ def test_closure(edges, rows):
     assert rows(paths.transitive_closure(edges, from_three)) == sorted(p for p in want if p[0] == 3)
 
 
+def test_closure_holds_starts_together(spark, rows, monkeypatch):
+    """Working rows hold up to 64 starts: there are far fewer than pairs of a start and a vertex."""
+    written = []
+
+    def counted(df, label):
+        table = materialize(df, label)
+        written.append((label, table.count()))
+        return table
+
+    monkeypatch.setattr(paths, "materialize", counted)
+    layered = [(s, m) for s in range(100) for m in range(1000, 1020)]
+    layered += [(m, t) for m in range(1000, 1020) for t in range(2000, 2030)] + [(2000, 3000), (3000, 2000)]
+    starts = spark.createDataFrame([(s,) for s in [*range(100), 5, None, 7000]], "id BIGINT")
+    found = paths.transitive_closure(spark.createDataFrame(layered, "src BIGINT, dst BIGINT"), starts)
+    ends = [*range(1000, 1020), *range(2000, 2030), 3000]
+    assert rows(found) == sorted(((s, v) for s in range(100) for v in ends), key=repr)
+    assert sum(n for label, n in written if label != "steps") < 100 * len(ends) / 10
+
+
 def _pagerank(edge_list, ids, rounds, keep_all):
     out = Counter(s for s, _ in edge_list)
     rank = {v: 1.0 for v in (ids if keep_all else out)}
