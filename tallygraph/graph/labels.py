@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallygraph.graph.model import both_directions
-from tallygraph.graph.slots import EDGES_PER_SLOT, slotted
+from tallygraph.graph.slots import EDGES_PER_SLOT, edge_tasks, slotted
 from tallygraph.storage import checkpoint, materialize
 
 
@@ -27,10 +27,12 @@ def label_propagation(
     links = materialize(both_directions(edges.select("src", "dst")), "links")
     links = slotted(links, "neighbour", edges_per_slot)
     labels = links.edges.select("id").distinct().withColumn("label", F.col("id"))
-    for i in range(1, rounds + 1):
-        votes = links.join(labels).groupBy("id", "label").agg(F.count(F.lit(1)).alias("votes"))
-        best = F.max_by("label", F.struct("votes", -F.col("label")))
-        labels = votes.groupBy("id").agg(best.alias("label"))
-        if i % rounds_per_plan == 0 or i == rounds:
-            labels = checkpoint(labels)
+    # Nearly every edge is a group of its own in the first rounds, so tasks are counted by edges.
+    with edge_tasks(links.edges):
+        for i in range(1, rounds + 1):
+            votes = links.join(labels).groupBy("id", "label").agg(F.count(F.lit(1)).alias("votes"))
+            best = F.max_by("label", F.struct("votes", -F.col("label")))
+            labels = votes.groupBy("id").agg(best.alias("label"))
+            if i % rounds_per_plan == 0 or i == rounds:
+                labels = checkpoint(labels)
     return labels

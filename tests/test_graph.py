@@ -160,6 +160,17 @@ def test_label_propagation(edges, rows, edges_per_slot):
     assert dict(rows(got)) == _labels(EDGES, 5)
 
 
+def test_label_propagation_deals_edges_by_their_number(spark, rows, monkeypatch):
+    """Few compressed bytes do not put all edges into a few tasks."""
+    monkeypatch.setattr(slots, "EDGES_PER_TASK", 20)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    chain = [(i, i + 1) for i in range(200)]
+    got = labels.label_propagation(spark.createDataFrame(chain, "src BIGINT, dst BIGINT"), 3, rounds_per_plan=2)
+    assert got.rdd.getNumPartitions() == 20
+    assert dict(rows(got)) == _labels(chain, 3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_slotted_join_keeps_every_edge(spark, rows):
     star = spark.createDataFrame([(0, i) for i in range(50)] + [(1, 2)], "src BIGINT, dst BIGINT")
     dealt = slotted(star, "src", edges_per_slot=10)
