@@ -38,10 +38,18 @@ def write_lines(df: DataFrame, path: str, mode: str = "error", single_file: bool
     (df.repartition(1) if single_file else df).write.mode(mode).text(path)
 
 
-def bucket_count(*frames: DataFrame, bytes_each: int = 256 << 20) -> int:
-    """Buckets that hold about ``bytes_each`` of the largest frame, by the planner's size estimate."""
-    sizes = [int(str(f._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for f in frames]
-    return max(1, *(-(-size // bytes_each) for size in sizes))
+def bucket_count(*frames: DataFrame, bytes_each: int = 32 << 20) -> int:
+    """Buckets that hold about ``bytes_each`` of the largest frame.
+
+    A bucket is sorted by one task, and compressed files tell little of the memory that takes. So
+    rows are counted, at the widths of their types; the planner's estimate counts where it is larger.
+    """
+
+    def size(frame: DataFrame) -> int:
+        planned = int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        return max(planned, frame.count() * frame._jdf.schema().defaultSize())
+
+    return max(1, *(-(-size(frame) // bytes_each) for frame in frames))
 
 
 def save_table(

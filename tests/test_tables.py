@@ -234,6 +234,11 @@ def test_buckets_follow_the_size(spark):
     assert writers.bucket_count(df, spark.range(10), bytes_each=1000) == 8
 
 
+def test_buckets_follow_the_rows_of_compressed_files(spark, tmp_path):
+    spark.range(200_000).selectExpr("id DIV 100000 AS k").write.parquet(f"{tmp_path}/k")
+    assert writers.bucket_count(spark.read.parquet(f"{tmp_path}/k"), bytes_each=100_000) == 16
+
+
 def test_release_leaves_other_applications_alone(spark):
     from pathlib import Path
 
