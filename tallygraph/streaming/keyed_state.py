@@ -77,7 +77,7 @@ def merged(spans: list[tuple[int, int, int]], gap_ms: int) -> list[tuple[int, in
 
 
 class _Sessions(StatefulProcessor):
-    """Open sessions of a key, each with an event-time timer where it ends."""
+    """Open sessions of a key, and one event-time timer where the first of them ends."""
 
     def __init__(self, gap_ms: int):
         self._gap_ms = gap_ms
@@ -89,17 +89,25 @@ class _Sessions(StatefulProcessor):
     def _held(self) -> list[tuple[int, int, int]]:
         return [tuple(s) for s in self._open.get()] if self._open.exists() else []
 
-    def _settle(self, key, spans: list[tuple[int, int, int]], now: int, before: set) -> Iterator[Row]:
-        """Rows of sessions that changed or ended; the others stay."""
+    def _end(self, spans) -> int | None:
+        """End of the first of these sessions, which the timer waits for."""
+        return min((last for _, last, _ in spans), default=None)
+
+    def _settle(self, key, spans: list[tuple[int, int, int]], now: int, before: set, set_at: int | None) -> Iterator[Row]:
+        """Rows of sessions that changed or ended; the others stay. ``set_at``: end the timer is set to."""
         still = [s for s in spans if s[1] + self._gap_ms >= now]
         if still:
             self._open.put(still)
         else:
             self._open.clear()
+        end = self._end(still)
+        if end != set_at:
+            if set_at is not None:
+                self._handle.deleteTimer(set_at + self._gap_ms + 1)
+            if end is not None:
+                self._handle.registerTimer(end + self._gap_ms + 1)
         for span in spans:
             ended = span[1] + self._gap_ms < now
-            if not ended and span not in before:
-                self._handle.registerTimer(span[1] + self._gap_ms + 1)
             if ended or span not in before:
                 first, last, n = span
                 yield Row(session_id=key[0], first_ms=first, last_ms=last, num_events=n, expired=ended)
@@ -112,11 +120,11 @@ class _Sessions(StatefulProcessor):
             if len(spans) % _MERGE_AT == 0:
                 spans = merged(spans, self._gap_ms)
         now = timerValues.getCurrentWatermarkInMs()
-        yield from self._settle(key, merged(spans, self._gap_ms), now, before)
+        yield from self._settle(key, merged(spans, self._gap_ms), now, before, self._end(before))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         spans = self._held()
-        yield from self._settle(key, spans, timerValues.getCurrentWatermarkInMs(), set(spans))
+        yield from self._settle(key, spans, timerValues.getCurrentWatermarkInMs(), set(spans), None)
 
     def close(self):
         pass

@@ -2,6 +2,7 @@
 
 import time
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -343,6 +344,55 @@ def test_expired_sessions_leave_no_state(feed):
     assert sizes[-1] <= max(sizes) and max(sizes) <= 40
 
 
+class _Handle:
+    """State and timers of one key, with every call that sets or drops a timer."""
+
+    def __init__(self):
+        self.timers, self.calls, self._rows = set(), 0, []
+
+    def getListState(self, name, schema):
+        return self
+
+    def exists(self):
+        return bool(self._rows)
+
+    def get(self):
+        return iter(self._rows)
+
+    def put(self, held):
+        self._rows = list(held)
+
+    def clear(self):
+        self._rows = []
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+        self.calls += 1
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+        self.calls += 1
+
+
+def test_sessions_of_a_key_share_a_timer():
+    handle, sessions = _Handle(), keyed_state._Sessions(10)
+    sessions.init(handle)
+    clock = lambda now: SimpleNamespace(getCurrentWatermarkInMs=lambda: now)
+    feed = lambda *spans: [dict(first_ms=a, last_ms=b, n=n) for a, b, n in spans]
+    opened = list(sessions.handleInputRows(("k",), iter(feed(*[(i * 100, i * 100, 1) for i in range(50)])), clock(0)))
+    assert len(opened) == 50 and not any(r.expired for r in opened)
+    assert handle.timers == {11} and handle.calls == 1
+    assert [tuple(r) for r in sessions.handleInputRows(("k",), iter(feed((5, 8, 2))), clock(0))] == [("k", 0, 8, 3, False)]
+    assert handle.timers == {19}  # it has moved with the first session
+    handle.timers.clear()  # the engine drops a timer that has fired
+    closed = list(sessions.handleExpiredTimer(("k",), clock(4000), None))
+    assert [(r.first_ms, r.expired) for r in closed] == [(i * 100, True) for i in range(40)]
+    assert handle.timers == {4011}
+    handle.timers.clear()
+    assert len(list(sessions.handleExpiredTimer(("k",), clock(9000), None))) == 10
+    assert not handle.timers and not handle.exists()
+
+
 def test_merged_spans():
     spans = [(0, 5, 1), (20, 30, 2), (15, 15, 1), (6, 6, 1), (100, 100, 1), (26, 90, 1), (0, 5, 1)]
     assert keyed_state.merged(spans, 9) == [(0, 90, 7), (100, 100, 1)]
