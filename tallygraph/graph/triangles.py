@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tallygraph.graph.model import both_directions, canonical_edges, vertices_of
 from tallygraph.storage import materialize
 
+EDGES_PER_CELL = 1_000_000
+
 
 def triangle_count(edges: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
     """Triangles through each vertex; directions, repeated edges and self-loops are ignored.
@@ -37,26 +39,46 @@ def triangle_count(edges: DataFrame, vertices: DataFrame | None = None) -> DataF
     )
     successors = pointed.groupBy("low").agg(F.collect_list("high").alias("next"))
     successors = materialize(successors, "successors")
-    # The list of the higher end is attached first: that end is the one many edges point to, and
-    # its list is the short one.
-    common = (
-        pointed.join(successors.select(F.col("low").alias("high"), F.col("next").alias("next_high")), "high")
-        .join(successors, "low")
-        .select("low", "high", F.array_intersect("next", "next_high").alias("third"))
-        .where(F.size("third") > 0)
+    counts = _corners(pointed, successors)
+    return ids.join(counts, "id", "left").fillna({"triangles": 0})
+
+
+def _corners(pointed: DataFrame, successors: DataFrame) -> DataFrame:
+    """``(id, triangles)`` of the vertices with triangles, by pointed edges and lists of successors.
+
+    Edges are dealt to cells by their lower end. The list of a higher end is sent once to each cell
+    that has edges to it, not along every edge, and a cell holds the lists of its own lower ends,
+    so lists are compared where they are.
+    """
+    spark = pointed.sparkSession
+    cells = max(-(-pointed.count() // EDGES_PER_CELL), spark.sparkContext.defaultParallelism)
+    celled = pointed.withColumn("cell", F.pmod(F.xxhash64("low"), F.lit(cells)))
+    sent = celled.select("cell", "high").distinct().join(
+        successors.select(F.col("low").alias("high"), F.col("next").alias("next_high")), "high"
     )
-    shared = F.size("third").cast("bigint")
-    at_ends = common.select(
-        F.inline(
-            F.array(
-                F.struct(F.col("low").alias("id"), shared.alias("n")),
-                F.struct(F.col("high").alias("id"), shared.alias("n")),
-            )
+    sent = materialize(sent, "sent-successors")
+    own = successors.withColumn("cell", F.pmod(F.xxhash64("low"), F.lit(cells)))
+    tasks = 4 * cells  # so that hashing seldom puts several cells into one task
+    # Both joins are on the cell and a vertex; rows that lie together by cell meet both.
+    by_part_of_keys = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(by_part_of_keys, None)
+    spark.conf.set(by_part_of_keys, "false")
+    try:
+        common = (
+            celled.repartition(tasks, "cell")
+            .join(sent.repartition(tasks, "cell"), ["cell", "high"])
+            .join(own.repartition(tasks, "cell"), ["cell", "low"])
+            .select("low", "high", F.array_intersect("next", "next_high").alias("third"))
+            .where(F.size("third") > 0)
         )
-    )
-    at_third = common.select(F.explode("third").alias("id"), F.lit(1).cast("bigint").alias("n"))
-    counts = at_ends.unionByName(at_third).groupBy("id").agg(F.sum("n").alias("triangles"))
-    return ids.join(counts, "id", "left").fillna({"triangles": 0})
+        shared = F.size("third").cast("bigint").alias("n")
+        ends = F.array(F.struct(F.col("low").alias("id"), shared), F.struct(F.col("high").alias("id"), shared))
+        one = F.lit(1).cast("bigint").alias("n")
+        thirds = F.transform("third", lambda vertex: F.struct(vertex.alias("id"), one))
+        corners = common.select(F.inline(F.concat(ends, thirds)))
+        return materialize(corners.groupBy("id").agg(F.sum("n").alias("triangles")), "triangles")
+    finally:
+        spark.conf.unset(by_part_of_keys) if before is None else spark.conf.set(by_part_of_keys, before)
 
 
 def triangle_total(counts: DataFrame) -> DataFrame:

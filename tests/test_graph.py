@@ -52,6 +52,26 @@ def test_triangles_of_a_hub(spark):
     assert {r["id"]: r["triangles"] for r in counts.collect()} == {0: 8, **{i: 2 for i in range(1, 9)}}
 
 
+def test_triangles_send_a_list_once_to_a_cell(spark, monkeypatch):
+    """Vertices 100 to 119 are joined to one another and to all of 0 to 99: few lists, many edges."""
+    sent = {}
+
+    def counted(df, label):
+        table = materialize(df, label)
+        sent[label] = table.count()
+        return table
+
+    monkeypatch.setattr(triangles, "materialize", counted)
+    monkeypatch.setattr(triangles, "EDGES_PER_CELL", 400)
+    hubs = [(a, b) for a in range(100, 120) for b in range(a + 1, 120)]
+    graph = hubs + [(v, h) for v in range(100) for h in range(100, 120)]
+    counts = triangles.triangle_count(spark.createDataFrame(graph, "src BIGINT, dst BIGINT"))
+    found = {r["id"]: r["triangles"] for r in counts.collect()}
+    assert found == {v: 190 if v < 100 else 171 + 100 * 19 for v in range(120)}
+    assert sent["pointed-edges"] == len(graph)
+    assert sent["sent-successors"] < len(graph) / 10
+
+
 def test_components(edges, vertices, rows):
     found = components.connected_components(edges, vertices)
     assert dict(rows(found)) == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 6: 1, 7: 7, 8: 8}
