@@ -97,6 +97,18 @@ def test_als_with_64_bit_ids_and_its_normal_equations(spark):
     assert factors.transform(df).count() == len(triples)
 
 
+def test_als_carries_single_precision_and_multiplies_in_double(spark):
+    triples = [(u, i, float((u * i) % 5 + 1)) for u in range(12) for i in range(9) if (u + i) % 3]
+    df = spark.createDataFrame(triples, "user BIGINT, item BIGINT, rating FLOAT")
+    factors = als.factorize(df, rank=3, rounds=2)
+    assert factors.users.schema["u"].dataType.simpleString() == "array<float>"
+    assert factors.items.schema["v"].dataType.simpleString() == "array<float>"
+    u = {r["user"]: np.array(r["u"]) for r in factors.users.collect()}
+    v = {r["item"]: np.array(r["v"]) for r in factors.items.collect()}
+    for r in factors.transform(df).collect():
+        assert r["prediction"] == np.float32(sum(a * b for a, b in zip(u[r["user"]], v[r["item"]])))
+
+
 def test_lloyd_ends_when_no_point_changes(spark):
     """Sums of thirds differ in their last bits with the order of partitions, so moves need not reach 0."""
     values = [(i, [i / 3.0, (i % 7) / 9.0]) for i in range(400)]
