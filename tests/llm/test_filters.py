@@ -133,6 +133,29 @@ def test_tokens_without_room_for_caches(tokenizer, monkeypatch):
         assert np.frombuffer(vocabulary.encode([text])[0], "<u4").tolist() == want
 
 
+def test_short_words_are_not_taken_one_at_a_time(tokenizer, monkeypatch):
+    """Proposals and merges of all new words of a slice run together; only long words go alone."""
+    vocabulary = byte_pairs.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    alone = []
+    for name in ("propose", "merge"):
+        plain = getattr(vocabulary, name)
+        monkeypatch.setattr(vocabulary, name, lambda word, plain=plain: alone.append(word) or plain(word))
+    rng = random.Random(4)
+    parts = ["tha", "inwh", "ouen", "\u00e9", "\u00f1a", "T", "\u00df", "q", "zx", "\u00d7", "\u00f7", "\u00aa"]
+    ends = ["", "", ",", ".%%%", "'s", "'", "_x", "\\", "1", "*** "]
+    texts = [
+        " ".join("".join(rng.choices(parts, k=rng.randrange(1, 9))) + rng.choice(ends) for _ in range(30))
+        for _ in range(60)
+    ]
+    for _ in range(2):  # the second time from memory
+        for text, packed in zip(texts, vocabulary.encode(texts)):
+            assert np.frombuffer(packed, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert not alone
+    text = " ".join(f"{'ab' * n}" for n in (30, 31, 32, 33, 34, 700))  # on both sides of 64 bytes
+    assert np.frombuffer(vocabulary.encode([text])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert {len(w) for w in alone} >= {67, 1401} and min(map(len, alone)) > byte_pairs.SHORT_WORD
+
+
 def test_token_columns(spark):
     data = [(1, "Hello world"), (2, None), (3, ""), (1, "Hello world")]
     frame = spark.createDataFrame(data, "doc_id BIGINT, text STRING").withColumn("ids", F.lit("clash"))
