@@ -1,9 +1,10 @@
 """Alignment of two tokenizers: groups of tokens that cover the same bytes, and links inside them.
 
-The ends of the tokens of both are dictionaries from byte offset to place; the offsets in both cut
-the token lists into groups, and the tokens of a group whose bytes overlap are linked. No token of
-either side spans the place between a word and a following space, so texts are cut there and equal
-pieces are aligned once. Links are counted over the whole corpus. Documents travel as blocks: a block holds its different links once
+The ends of the tokens of both are sorted byte offsets: those in both cut the token lists into
+groups, and each stretch between two neighbours of all of them is one link, of the tokens that
+cover it. No token of either side spans the place between a word and a following space, so texts
+are cut there and equal pieces are aligned once, all new ones of a slice as arrays. Links are
+counted over the whole corpus. Documents travel as blocks: a block holds its different links once
 and its documents' links as numbers of them, so a link that every document has is looked up once
 for every block.
 """
@@ -16,7 +17,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
-from itertools import accumulate, chain
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -36,8 +37,9 @@ BLOCK_BYTES = 8 << 20  # text of a block; one longer document is one block
 CACHED_CHUNKS = 200_000  # aligned pieces of text a Python worker remembers, and as many of before
 _LOW = (1 << 32) - 1
 JOINT_CHUNKS = 500  # of them that are encoded at once
-Aligned = tuple[int, int, int, str, list[int]]
+Aligned = tuple[int, int, int, bytes, bytes]
 _WORD_END = re.compile(r"(?<=\S)(?= )")
+_ODD_SPACE = re.compile(r" (?<=\s )")  # a space behind white space
 _LONG_WORD = re.compile(r"\S{1000}|\s{1000}")
 
 
@@ -90,14 +92,22 @@ class Tokenizers:
             for i in range(sp.get_piece_size())
         ]
         self._cuts = not any("▁" in sp.id_to_piece(i).lstrip("▁") for i in range(sp.get_piece_size()))
-        self.a_size, self.b_size = (list(map(len, x)) for x in (self.a_bytes, self.b_bytes))
-        self.a_text, self.b_text = (list(map(str, range(len(x)))) for x in (self.a_bytes, self.b_bytes))
+        self.a_size, self.b_size = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
+        most = max(len(self.a_bytes), len(self.b_bytes))
+        self.width = len(str(most)) + 1
+        text = b"".join(str(i).encode().ljust(self.width, b"\0") for i in range(most))
+        self.text = np.frombuffer(text, np.uint8).reshape(most, self.width)  # ids as decimal numbers
+        self.digits = np.count_nonzero(self.text, axis=1)
         self._known: dict[str, Aligned | None] = {}
         self._older: dict[str, Aligned | None] = {}
 
     def chunks(self, text: str) -> list[str]:
         """A space and the text, cut after words; each piece starts with a space."""
-        return _WORD_END.split(f" {text}") if self._cuts else [f" {text}"]
+        if not self._cuts:
+            return [f" {text}"]
+        if text[:1] == " " or _ODD_SPACE.search(text):
+            return _WORD_END.split(f" {text}")
+        return list(map(" ".__add__, text.split(" ")))
 
     def encode(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of both. B puts a space before what it is given, also where that is the whole chunk."""
@@ -112,29 +122,35 @@ class Tokenizers:
 
     def _learn(self, chunks: list[str]) -> None:
         """Align chunks, many in one piece; nothing may follow one that ends with white space."""
-        joint = [c for c in chunks if not c[-1:].isspace()]
+        joint, alone = [], []
+        for c in chunks:
+            (alone if c[-1].isspace() else joint).append(c)
         pieces = [joint[i : i + JOINT_CHUNKS] for i in range(0, len(joint), JOINT_CHUNKS)]
-        pieces += [[c] for c in chunks if c[-1:].isspace()]
+        pieces += [[c] for c in alone]
         while pieces:
-            failed = []
+            failed, good = [], []
             for piece, a, b in zip(pieces, *self.encode(list(map("".join, pieces)))):
-                raw = [c.encode() for c in piece]
-                whole = all(
-                    b"".join(map(tokens.__getitem__, ids)) == b"".join(raw)
+                raw = "".join(piece).encode()
+                if all(
+                    b"".join(map(tokens.__getitem__, ids)) == raw
                     for tokens, ids in ((self.a_bytes, a), (self.b_bytes, b))
-                )
-                if whole:
-                    self._known.update(zip(piece, align(a, b, self, accumulate(map(len, raw)))))
+                ):
+                    good.append((piece, a, b))
                 elif len(piece) > 1:
                     failed += [[c] for c in piece]
                 else:
                     self._known[piece[0]] = None
+            if good:
+                piece, a, b = (list(chain.from_iterable(x)) for x in zip(*good))
+                size = np.fromiter((len(c.encode()) for c in piece), np.int64, len(piece))
+                found = align(np.array(a, np.int64), np.array(b, np.int64), self, np.cumsum(size))
+                self._known.update(zip(piece, found))
             pieces = failed
 
     def aligned(self, texts: list[str]) -> Iterator[Aligned]:
         """Alignment of whole texts; none where either side does not give back the bytes of the text."""
         cut = [self.chunks(t) for t in texts]
-        wanted = {c for chunks in cut for c in chunks}
+        wanted = set().union(*cut)
         if len(self._known) + len(wanted) > CACHED_CHUNKS:
             self._known, self._older = {}, self._known
         new = wanted.difference(self._known)
@@ -145,10 +161,10 @@ class Tokenizers:
         for text, chunks in zip(texts, cut):
             found = list(map(self._known.__getitem__, chunks))
             if not text or None in found:
-                yield 0, 0, 0, "", []
+                yield 0, 0, 0, b"", b""
             else:
                 n_a, n_b, n_groups, parts, links = zip(*found)
-                yield sum(n_a), sum(n_b), sum(n_groups), ";".join(parts), list(chain.from_iterable(links))
+                yield sum(n_a), sum(n_b), sum(n_groups), b";".join(parts), b"".join(links)
 
 
 @lru_cache(maxsize=1)
@@ -156,38 +172,41 @@ def _loaded(byte_file: bytes, piece_file: bytes) -> Tokenizers:
     return Tokenizers(byte_file, piece_file)
 
 
-def align(a: list[int], b: list[int], both: Tokenizers, ends: Iterator[int]) -> list[Aligned]:
-    """Alignment of each chunk of a piece; ``ends`` are where its chunks do.
+def align(a: np.ndarray, b: np.ndarray, both: Tokenizers, stops: np.ndarray) -> Iterator[Aligned]:
+    """Alignment of chunks on end, of which both sides hold all tokens; ``stops`` are where they end.
 
-    Numbers of tokens and groups, the groups as text, and all links ``A id << 32 | B id``.
+    Numbers of tokens and groups, the groups as text, and all links ``A id << 32 | B id``, packed.
     """
-    a_ends = list(accumulate(map(both.a_size.__getitem__, a)))
-    b_ends = list(accumulate(map(both.b_size.__getitem__, b)))
-    a_place = dict(zip(a_ends, range(1, len(a) + 1)))  # from each end to the tokens up to it
-    b_place = dict(zip(b_ends, range(1, len(b) + 1)))
-    common = sorted(a_place.keys() & b_place.keys())
-    a_text, b_text = both.a_text, both.b_text
-    found, links, text = [], [], []
-    i = j = i_first = j_first = 0
-    stop = next(ends)
-    for end in common:
-        i_end, j_end = a_place[end], b_place[end]
-        links.append(a[i] << 32 | b[j])
-        if i_end - i == 1 and j_end - j == 1:
-            text.append(f"{a_text[a[i]]}|{b_text[b[j]]}")
-        else:
-            text.append(f"{','.join(map(str, a[i:i_end]))}|{','.join(map(str, b[j:j_end]))}")
-            while True:  # of two linked tokens, the one that ends first has met all it overlaps
-                step = a_ends[i] - b_ends[j]
-                i, j = i + (step <= 0), j + (step >= 0)
-                if i == i_end:
-                    break
-                links.append(a[i] << 32 | b[j])
-        i, j = i_end, j_end
-        if end == stop:
-            found.append((i - i_first, j - j_first, len(text), ";".join(text), links))
-            i_first, j_first, links, text, stop = i, j, [], [], next(ends, None)
-    return found
+    a_ends, b_ends = np.cumsum(both.a_size[a]), np.cumsum(both.b_size[b])
+    ends = np.union1d(a_ends, b_ends)
+    a_at, b_at = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
+    links = (a[a_at] << 32 | b[b_at]).astype("<i8").tobytes()
+    cut = (a_ends[a_at] == ends) & (b_ends[b_at] == ends)
+    a_last, b_last = a_at[cut], b_at[cut]  # the last tokens of each group
+    # The groups one after another: A ids, then B ids. Each id ends with a sign.
+    a_group = np.searchsorted(a_last, np.arange(len(a)))
+    b_group = np.searchsorted(b_last, np.arange(len(b)))
+    a_place = np.arange(len(a)) + np.append(0, b_last + 1)[a_group]
+    b_place = np.arange(len(b)) + a_last[b_group] + 1
+    ids, sign = np.empty(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
+    ids[a_place], ids[b_place] = a, b
+    sign[a_place[a_last]], sign[b_place[b_last]] = ord("|"), ord(";")
+    wide, digits = both.text[ids], both.digits[ids]
+    wide[np.arange(len(ids)), digits] = sign
+    text = wide[wide > 0].tobytes()
+    written = np.cumsum(digits + 1)
+
+    def starts(stop: np.ndarray) -> np.ndarray:
+        return np.append(0, stop[:-1])
+
+    group = np.searchsorted(ends[cut], stops)
+    a_stop, b_stop, link_stop = a_last[group] + 1, b_last[group] + 1, np.searchsorted(ends, stops) + 1
+    text_stop, link_stop = written[b_place[b_stop - 1]], 8 * link_stop
+    groups = np.diff(group + 1, prepend=0)
+    texts = map(slice, starts(text_stop).tolist(), (text_stop - 1).tolist())
+    spans = map(slice, starts(link_stop).tolist(), link_stop.tolist())
+    numbers = (np.diff(x, prepend=0).tolist() for x in (a_stop, b_stop))
+    return zip(*numbers, groups.tolist(), map(text.__getitem__, texts), map(links.__getitem__, spans))
 
 
 def _packed(numbers: np.ndarray, sizes: np.ndarray) -> bytes:
@@ -245,8 +264,8 @@ def _blocks(docs: DataFrame, key: str, text: str, files: tuple[bytes, bytes], bl
                 yield block(keys, found, links, key_type)
                 keys, found, links, held = [], [], [], 0
             for n_a, n_b, n, groups, own in both.aligned(texts):
-                found.append((n_a, n_b, n, len(own), sha256(groups.encode()).hexdigest() if n else ""))
-                links.append(np.array(own, np.int64))
+                found.append((n_a, n_b, n, len(own) // 8, sha256(groups).hexdigest() if n else ""))
+                links.append(np.frombuffer(own, "<i8"))
             keys += batch.column("key").to_pylist()
             held += size
         if keys:

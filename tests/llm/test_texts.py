@@ -1,10 +1,12 @@
 """Exact dedup, spelling groups and token alignment against plain versions, on odd and large inputs."""
 
+import random
 import re
 import zlib
 from collections import Counter
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -288,6 +290,42 @@ def test_chunks_encode_like_whole_texts(spark):
             assert b == both._pieces.encode(text)
 
 
+def test_new_chunks_are_aligned_together(monkeypatch):
+    """One alignment for all new chunks of a slice, with the groups and links that each has by itself."""
+    both = token_alignment.Tokenizers(*token_alignment._vocabulary_files(None, None))
+    calls, plain = [], token_alignment.align
+    monkeypatch.setattr(token_alignment, "align", lambda *args: calls.append(1) or plain(*args))
+    rng = random.Random(7)
+    parts = ["tha", "inwh", "ouen", "\u00e9", "\u6f22", "T", "\U0001f600", "q", "1", "***", "'s", "\n", "x "]
+    texts = [" ".join("".join(rng.choices(parts, k=rng.randrange(1, 7))) for _ in range(40)) for _ in range(80)]
+    got = list(both.aligned(texts))
+    assert len(calls) == 1
+    for text, (n_a, n_b, n_groups, groups, links) in zip(texts, got):
+        a, b = both._bytes.encode(" " + text, add_special_tokens=False).ids, both._pieces.encode(text)
+        sides = [[n for n, i in enumerate(side) for _ in range(size[i])] for side, size in ((a, both.a_size), (b, both.b_size))]
+        if len(sides[0]) != len(sides[1]):
+            assert (n_a, links) == (0, b"")
+            continue
+        met = sorted(set(zip(*sides)))
+        assert np.frombuffer(links, "<i8").tolist() == [a[x] << 32 | b[y] for x, y in met]
+        want, own = [], ([], [])
+        for at, (x, y) in enumerate(met):
+            for side, n in zip(own, (x, y)):
+                side.extend([n] if n not in side else [])
+            if at + 1 == len(met) or met[at + 1][0] > x and met[at + 1][1] > y:
+                want.append("|".join(",".join(str(ids[n]) for n in side) for ids, side in zip((a, b), own)))
+                own = ([], [])
+        assert (n_a, n_b, n_groups, groups.decode()) == (len(a), len(b), len(want), ";".join(want))
+
+
+def test_chunks_are_cut_after_words():
+    both = token_alignment.Tokenizers(*token_alignment._vocabulary_files(None, None))
+    rng = random.Random(8)
+    pool = ["a", "bc", " ", " ", "\n", "\u3000", "\u0085", "\x1c", "\u200b", "\t"]
+    for text in ["", " ", "a ", " a", "a  b", "a\n b"] + ["".join(rng.choices(pool, k=rng.randrange(9))) for _ in range(3000)]:
+        assert both.chunks(text) == token_alignment._WORD_END.split(f" {text}")
+
+
 def test_alignment_starts_its_memory_anew(spark, monkeypatch):
     monkeypatch.setattr(token_alignment, "CACHED_CHUNKS", 3)
     both = token_alignment.Tokenizers(*token_alignment._vocabulary_files(None, None))
