@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallygraph.graph import components, labels, messages, model, pagerank, paths, slots, triangles
 from tallygraph.graph.slots import bucketed, slotted
+from tallygraph.queries import QUERIES
 from tallygraph.storage import materialize
 
 EDGES = [(1, 2), (2, 3), (3, 1), (3, 4), (4, 5), (5, 6), (6, 4), (7, 7), (1, 2)]
@@ -127,6 +128,15 @@ def test_closure_holds_starts_together(spark, rows, monkeypatch):
     assert sum(n for label, n in written if label != "steps") < 100 * len(ends) / 10
 
 
+def test_closure_query_starts_anywhere(spark, rows, tmp_path):
+    """Pairs from every supplier, also one of another nation and one that the supplier table lacks."""
+    lines = spark.createDataFrame([(1, 2), (2, 9), (3, 1), (3, 3), (5, None), (None, 6), (1, 2)], "l_suppkey BIGINT, l_partkey BIGINT")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    suppliers = spark.createDataFrame([(1, 7), (2, 4)], "s_suppkey BIGINT, s_nationkey INT")
+    suppliers.write.parquet(f"{tmp_path}/supplier.parquet")
+    assert rows(QUERIES["transitive_closure"](spark, str(tmp_path))) == [(1, 2), (1, 9), (2, 9), (3, 1), (3, 2), (3, 9)]
+
+
 def _pagerank(edge_list, ids, rounds, keep_all):
     out = Counter(s for s, _ in edge_list)
     rank = {v: 1.0 for v in (ids if keep_all else out)}
