@@ -128,6 +128,35 @@ def test_closure_holds_starts_together(spark, rows, monkeypatch):
     assert sum(n for label, n in written if label != "steps") < 100 * len(ends) / 10
 
 
+def test_closure_of_many_starts(spark, rows, monkeypatch):
+    """1,500 starts share few rows, and edges to vertices that have none are walked once, at the end."""
+    written = []
+
+    def counted(df, label):
+        table = materialize(df, label)
+        written.append((label, table.count()))
+        return table
+
+    monkeypatch.setattr(paths, "materialize", counted)
+    wide = [(s, 5000 + s % 7) for s in range(1500)] + [(5000 + i, 5000 + i + 1) for i in range(7)]
+    wide += [(5000 + i, 9000 + 10 * i + j) for i in range(8) for j in range(10)] + [(5003, 5001), (7777, 8888), (7777, None)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    found = rows(paths.transitive_closure(spark.createDataFrame(wide, "src BIGINT, dst BIGINT")))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    onward = {}
+    for s, d in wide:
+        onward.setdefault(s, set()).add(d)
+    want = set()
+    for s in onward:
+        ends, more = set(), onward[s]
+        while more:
+            ends |= more
+            more = set().union(*(onward.get(v, set()) for v in more)) - ends
+        want |= {(s, v) for v in ends}
+    assert found == sorted(want, key=repr)
+    assert max(n for label, n in written if label.endswith("-bits") and label != "start-bits") <= 2 * 88
+
+
 def test_closure_query_starts_anywhere(spark, rows, tmp_path):
     """Pairs from every supplier, also one of another nation and one that the supplier table lacks."""
     lines = spark.createDataFrame([(1, 2), (2, 9), (3, 1), (3, 3), (5, None), (None, 6), (1, 2)], "l_suppkey BIGINT, l_partkey BIGINT")
