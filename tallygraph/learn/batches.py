@@ -10,10 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def plain_matrix(column: pa.Array) -> np.ndarray:
+    """Rows of an Arrow list column of equal lengths as a matrix of their own type."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
 def as_matrix(column: pa.Array) -> np.ndarray:
     """Rows of an Arrow list column of equal lengths as a matrix of doubles."""
-    values = column.flatten().to_numpy(zero_copy_only=False)
-    return values.astype(np.float64, copy=False).reshape(len(column), -1)
+    return plain_matrix(column).astype(np.float64, copy=False)
 
 
 def partial_sums(

@@ -119,6 +119,40 @@ def test_lloyd_ends_when_no_point_changes(spark):
     assert centres == pytest.approx(np.array([data[nearest == i].mean(axis=0) for i in range(3)]))
 
 
+def test_lloyd_reads_points_once(spark, monkeypatch):
+    """The points are packed once, in blocks, and lead to the centres of rounds over all of them."""
+    data = np.random.default_rng(5).normal(size=(600, 4)).astype(np.float32)
+    df = spark.createDataFrame([(v.tolist(),) for v in data], "v ARRAY<FLOAT>").repartition(3)
+    start = [[float(x) for x in v] for v in data[:5]] + [[90.0] * 4]
+    before, current = None, np.array(start)
+    while True:
+        nearest = ((data[:, None].astype(float) - current[None]) ** 2).sum(axis=2).argmin(axis=1)
+        if before is not None and (before == nearest).all():
+            break
+        current = np.array([data[nearest == i].mean(axis=0, dtype=float) if (nearest == i).any() else c for i, c in enumerate(current)])
+        before = nearest
+    pack, blocks = kmeans._pack, []
+    monkeypatch.setattr(kmeans, "_BLOCK_BYTES", 1600)
+
+    def counted(*args):
+        packed = pack(*args)
+        blocks.append(packed.count())
+        return packed
+
+    monkeypatch.setattr(kmeans, "_pack", counted)
+    assert np.array(kmeans.lloyd(df, "v", start)) == pytest.approx(current, abs=1e-9)
+    assert len(blocks) == 1 and 6 <= blocks[0] <= 8
+
+
+def test_nearest_of_many_settles_ties_like_nearest():
+    centres = np.array([[2.0, 0.0], [0.0, 0.0], [2.0, 0.0], [1e6, 1.0]])
+    matrix = np.array([[1.0, 5.0], [3.0, 1.0], [0.1, 0.0], [1.0 + 1e-13, 1e5], [np.nan, 1.0], [np.inf, 0.0]])
+    with np.errstate(invalid="ignore"):
+        assert list(kmeans._nearest_of_many(matrix, centres)) == list(kmeans._nearest(matrix, centres))
+        sums = kmeans._sums(matrix, np.array([0, 1, 0, 1, 2, 0]), 3)
+    assert sums[1] == pytest.approx([4.0, 1e5 + 1, 2.0])
+
+
 def test_dense_ids(spark, rows):
     keys = [(7,), (None,), (-3,), (2**50,), (7,)] + [(i * 1000,) for i in range(200)]
     df = spark.createDataFrame(keys, "k BIGINT").repartition(5)
